@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.projection import computed_once
 from cadenza.sources.client_log import split_lines
 
 # The routed table and its fields.
@@ -21,39 +22,44 @@ PLAY_FIELDS = (
     "pkg_id",
     "order_id",
 )
-_SCHEMA = ", ".join(f"{name} string" for name in PLAY_FIELDS)
+_BROKEN = "_broken"
+_SCHEMA = ", ".join(f"{name} string" for name in (*PLAY_FIELDS, _BROKEN))
 
 
-def _is_object(body: str):
-    return F.json_object_keys(body).isNotNull()
+def _unreadable(broken: Column) -> Column:
+    """A body that is blank or not a JSON object."""
+    return broken.isNotNull() | (F.trim("body") == "")
+
+
+def _plays(lines: DataFrame) -> DataFrame:
+    """(body, play fields, broken text) of the play records, each body parsed once."""
+    records = split_lines(lines).where(F.col("table_name") == PLAY_TABLE)
+    fields = F.from_json("body", _SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
+    return computed_once(records, fields, "table_name", "body")
 
 
 def play_records(lines: DataFrame) -> DataFrame:
     """Fields of the play records; a field missing in the JSON is NULL."""
-    return (
-        split_lines(lines)
-        .where((F.col("table_name") == PLAY_TABLE) & _is_object("body"))
-        .select(F.from_json("body", _SCHEMA).alias("play"))
-        .select(*[F.col(f"play.{name}").alias(name.upper()) for name in PLAY_FIELDS])
-    )
+    good = _plays(lines).where(~_unreadable(F.col(_BROKEN)))
+    return good.select(*[F.col(name).alias(name.upper()) for name in PLAY_FIELDS])
 
 
 def malformed_plays(lines: DataFrame) -> DataFrame:
     """Play records whose body is not a JSON object, for quarantine."""
-    return split_lines(lines).where(
-        (F.col("table_name") == PLAY_TABLE) & ~_is_object("body")
-    )
+    bad = _plays(lines).where(_unreadable(F.col(_BROKEN)))
+    return bad.select("table_name", "body")
 
 
 def routed_text(lines: DataFrame) -> DataFrame:
     """(table_name, value) of every record: tab-joined fields for plays, the JSON as it
     came for other tables."""
-    play = F.from_json("body", _SCHEMA)
-    # The text form writes NULL as the word null.
-    joined = F.concat_ws("\t", *[F.coalesce(play[n], F.lit("null")) for n in PLAY_FIELDS])
+    records = split_lines(lines)
     is_play = F.col("table_name") == PLAY_TABLE
-    return (
-        split_lines(lines)
-        .where(~is_play | _is_object("body"))
-        .select("table_name", F.when(is_play, joined).otherwise(F.col("body")).alias("value"))
+    body = F.when(is_play, F.col("body"))
+    play = F.from_json(body, _SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
+    parsed = computed_once(records, F.struct(play.alias("play")), "table_name", "body")
+    # The text form writes NULL as the word null.
+    joined = F.concat_ws("\t", *[F.coalesce(f"play.{n}", F.lit("null")) for n in PLAY_FIELDS])
+    return parsed.where(~is_play | ~_unreadable(F.col(f"play.{_BROKEN}"))).select(
+        "table_name", F.when(is_play, joined).otherwise(F.col("body")).alias("value")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.operators.projection import computed_once
+
 FIELDS = 6
 TABLE_FIELD, BODY_FIELD = 2, 3
 
@@ -23,8 +25,10 @@ def split_lines(lines: DataFrame) -> DataFrame:
 
     Empty fields at the end of a line do not count, so such a line is dropped.
     """
-    fields = F.split(F.regexp_replace("value", "&+$", ""), "&")
-    return lines.select(fields.alias("fields")).where(F.size("fields") == FIELDS).select(
-        F.col("fields")[TABLE_FIELD].alias("table_name"),
-        F.col("fields")[BODY_FIELD].alias("body"),
+    fields = lines.select(F.split(F.regexp_replace("value", "&+$", ""), "&").alias("fields"))
+    parts = F.struct(
+        F.size("fields").alias("n_fields"),
+        F.get("fields", F.lit(TABLE_FIELD)).alias("table_name"),
+        F.get("fields", F.lit(BODY_FIELD)).alias("body"),
     )
+    return computed_once(fields, parts).where(F.col("n_fields") == FIELDS).drop("n_fields")

@@ -11,13 +11,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.functions.dates import shift_day
 from cadenza.plans.client_log import PLAY_FIELDS, PLAY_TABLE
 from cadenza.plans.machines import LOCATION_COLUMNS
 from cadenza.plans.songs import PLAIN_TAIL
 from cadenza.sources.tables import DAY
 
 RUN_DAY = "20240130"
-CALENDAR_START = "2023-12-27"
+CALENDAR_START = "20231227"
 FIRST_SHIP_DAY = "1995-01-02"
 CALENDAR_DAYS = 35
 GAZETTEER_DIGITS = 0
@@ -55,13 +56,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _fact(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A large table, spread over the cores when there are fewer files than that;
+    with enough of them the scan is parallel and nothing is shuffled."""
+    rows, cores = table(spark, folder, name), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def _ship_day() -> Column:
     offset = F.pmod(F.datediff("l_shipdate", F.lit(FIRST_SHIP_DAY)), F.lit(CALENDAR_DAYS))
-    return F.date_format(F.date_add(F.lit(CALENDAR_START).cast("date"), offset), "yyyyMMdd")
+    days = [shift_day(CALENDAR_START, n) for n in range(CALENDAR_DAYS)]
+    return F.get(F.array(*map(F.lit, days)), offset)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    lines, orders = _fact(spark, folder, "lineitem"), table(spark, folder, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
 
 
@@ -288,7 +297,7 @@ def channel_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     ts = F.col("ts").cast("timestamp")
-    return table(spark, folder, "events").select(
+    return _fact(spark, folder, "events").select(
         "user_id", "event_type", ts.alias("ts"), k.alias("k"),
         (F.col("user_id") * 10 + k % 10).alias("UID"),
         F.date_format(ts, "yyyyMMdd").alias(DAY),
