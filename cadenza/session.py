@@ -24,6 +24,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE_STORE,
+        # Call sites of column operations cost two driver calls each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})

@@ -6,10 +6,11 @@ dates fold into 35 days so that each day holds a steady share of all rows.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cadenza.functions.dates import shift_day
 from cadenza.plans.client_log import PLAY_FIELDS, PLAY_TABLE
@@ -52,15 +53,22 @@ def _pick(key: Column, *choices) -> Column:
     return reduce(lambda rest, case: F.when(key == case[0], case[1]).otherwise(rest), cases, columns[-1])
 
 
+@lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Read from the file footers once per session."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
-def _fact(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def _fact(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
     """A large table, spread over the cores when there are fewer files than that;
     with enough of them the scan is parallel and nothing is shuffled."""
     rows, cores = table(spark, folder, name), spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
 
 
 def _ship_day() -> Column:
@@ -70,7 +78,7 @@ def _ship_day() -> Column:
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines, orders = _fact(spark, folder, "lineitem"), table(spark, folder, "orders")
+    lines, orders = _fact(spark, folder, "lineitem", "l_orderkey"), table(spark, folder, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
 
 
@@ -297,7 +305,7 @@ def channel_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     ts = F.col("ts").cast("timestamp")
-    return _fact(spark, folder, "events").select(
+    return _fact(spark, folder, "events", "event_id").select(
         "user_id", "event_type", ts.alias("ts"), k.alias("k"),
         (F.col("user_id") * 10 + k % 10).alias("UID"),
         F.date_format(ts, "yyyyMMdd").alias(DAY),

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 DAY = "data_dt"
 _ROWS = "rows"
@@ -44,7 +45,7 @@ class Warehouse:
         path = self._path(table)
         schema = self.spark.read.parquet(path).schema
         if DAY in schema.names:
-            schema[DAY].dataType = _string_type()
+            schema[DAY].dataType = StringType()
             return self.spark.read.schema(schema).parquet(path)
         return self.spark.read.parquet(path)
 
@@ -72,8 +73,6 @@ class Warehouse:
             self._replace_catalog_day(df, self._name(table), day)
 
     def _replace_catalog_day(self, df: DataFrame, name: str, day: str) -> None:
-        from pyspark.sql import Observation
-
         written = Observation()
         dated = df.drop(DAY).withColumn(DAY, F.lit(day))
         counted = dated.observe(written, F.count("*").alias(_ROWS))
@@ -90,8 +89,3 @@ class Warehouse:
         if written.get[_ROWS] == 0:
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({DAY}='{day}')")
 
-
-def _string_type():
-    from pyspark.sql.types import StringType
-
-    return StringType()
