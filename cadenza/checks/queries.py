@@ -154,14 +154,13 @@ def machine_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def machine_location(spark: SparkSession, folder: str) -> DataFrame:
-    digits = samples.GAZETTEER_DIGITS
-    cells = gazetteer.parse_answers(samples.geocoder_answers(spark, folder), digits)
+    answers = samples.geocoder_answers(spark, folder)
+    cells = gazetteer.parse_answers(answers, machines.CELL_DIGITS)
     return machines.machine_locations(
         samples.user_positions(spark, folder),
         cells,
         samples.installed_locations(spark, folder),
         DAY,
-        digits=digits,
     )
 
 

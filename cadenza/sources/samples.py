@@ -22,7 +22,7 @@ RUN_DAY = "20240130"
 CALENDAR_START = "20231227"
 FIRST_SHIP_DAY = "1995-01-02"
 CALENDAR_DAYS = 35
-GAZETTEER_DIGITS = 0
+MINUTES = {"click": ".10", "view": ".20", "purchase": ".30"}  # latitude by event type
 
 # Addresses for the repair rules; {} takes the nation's name.
 ADDRESSES = (
@@ -320,8 +320,8 @@ def user_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Positions users reported at machines; some blank or missing."""
     nation = F.col("user_id") % 25
     kind = F.col("event_type")
-    minutes = F.when(kind == "click", ".10").when(kind == "view", ".20").otherwise(".30")
-    lat = F.when(kind == "error", "").when(kind != "signup", F.concat(_text(nation + 20), minutes))
+    minutes = F.try_element_at(F.create_map(*[F.lit(t) for m in MINUTES.items() for t in m]), kind)
+    lat = F.when(kind == "error", "").otherwise(F.concat(_text(nation + 20), minutes))
     lng = F.when(kind == "error", "").otherwise(F.concat(_text(nation + 100), F.lit(".25")))
     return _events(spark, folder).select(
         "UID", _text(F.col("user_id") + 5).alias("MID"), lat.alias("LAT"), lng.alias("LNG"), DAY
@@ -329,7 +329,7 @@ def user_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def geocoder_answers(spark: SparkSession, folder: str) -> DataFrame:
-    """One stored answer per nation's cell; two of them are failures."""
+    """A stored answer for each cell of a nation; those of two nations are failures."""
     nations, regions = table(spark, folder, "nation"), table(spark, folder, "region")
     key, name = F.col("n_nationkey"), F.col("n_name")
     answer = F.to_json(
@@ -348,9 +348,15 @@ def geocoder_answers(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     failed = F.when(key == 24, F.lit("bad")).when(key == 23, F.lit('{"formatted_address":"?"}'))
-    return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).select(
-        _text(key + 20).alias("lat"), _text(key + 100).alias("lng"),
-        F.coalesce(failed, answer).alias("answer"),
+    minutes = F.explode(F.array(*map(F.lit, MINUTES.values())))
+    return (
+        nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"])
+        .select("*", minutes.alias("minutes"))
+        .select(
+            F.concat(_text(key + 20), F.col("minutes")).alias("lat"),
+            F.concat(_text(key + 100), F.lit(".25")).alias("lng"),
+            F.coalesce(failed, answer).alias("answer"),
+        )
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType
 
 DAY = "data_dt"
 _ROWS = "rows"
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def on_day(df: DataFrame, day: str) -> DataFrame:
@@ -80,12 +81,12 @@ class Warehouse:
             counted.write.format("parquet").partitionBy(DAY).saveAsTable(name)
             return
         columns = self.spark.table(name).columns
-        (
-            counted.select(*columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(name)
-        )
+        before = self.spark.conf.get(_OVERWRITE)
+        self.spark.conf.set(_OVERWRITE, "dynamic")  # insertInto takes no options
+        try:
+            counted.select(*columns).write.insertInto(name, overwrite=True)
+        finally:
+            self.spark.conf.set(_OVERWRITE, before)
         if written.get[_ROWS] == 0:
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({DAY}='{day}')")
 
