@@ -28,17 +28,21 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn(DAY_COLUMN, F.lit(DAY))
 
 
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return client_log.parse_records(samples.log_lines(spark, folder))
+
+
 def log_demux(spark: SparkSession, folder: str) -> DataFrame:
-    return client_log.play_records(samples.log_lines(spark, folder))
+    return client_log.play_records(_records(spark, folder))
 
 
 def log_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    return client_log.malformed_plays(samples.log_lines(spark, folder))
+    return client_log.unreadable_records(_records(spark, folder))
 
 
 def log_demux_text(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "routed")
-    write_by_table(client_log.routed_text(samples.log_lines(spark, folder)), path)
+    write_by_table(client_log.routed_text(_records(spark, folder)), path)
     written = spark.read.text(path)
     return written.groupBy("table_name").agg(
         F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars")
@@ -49,9 +53,7 @@ def partition_store(spark: SparkSession, folder: str) -> DataFrame:
     """All days of the play log written once, then one day replaced twice."""
     store = Warehouse(spark, root=scratch_path(spark, "store"))
     plays = samples.plays(spark, folder)
-    # Gather a day's rows, split further by song, so a day is a few files.
-    spread = plays.repartition(DAY_COLUMN, F.pmod(F.hash("SONGID"), F.lit(4)))
-    spread.write.partitionBy(DAY_COLUMN).parquet(f"{store.root}/plays")
+    store.load_days(plays, "plays")
     for _ in range(2):
         store.replace_day(on_day(plays, DAY), "plays", DAY)
     return store.read("plays").groupBy(DAY_COLUMN).agg(

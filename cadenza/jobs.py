@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import shift_day
 from cadenza.plans import client_log, ledger, machines, revenue, songs, users
-from cadenza.session import build_session
+from cadenza.session import build_session, scratch_path
 from cadenza.sinks.jdbc import dated, replace_table
 from cadenza.sinks.text import write_by_table
 from cadenza.sources.client_log import read_lines
@@ -59,6 +59,8 @@ POSITIONS = "to_ycak_usr_loc_d"
 LOGINS = "to_ycak_usr_login_d"
 ANSWERS = "geocoder_answers"
 
+SHUFFLE_PARTITIONS = 4000
+
 Plan = Callable[[Warehouse, str], DataFrame]
 
 
@@ -172,10 +174,18 @@ def run_job(name: str, store: Warehouse, day: str, copy: Copy | None = None) ->
 
 def run_client_log(store: Warehouse, lines: DataFrame, day: str, routed: str) -> None:
     """Route the raw log: text per record type below ``routed/<day>``, plays into their
-    day, unreadable plays into ``routed/<day>-unreadable``."""
-    write_by_table(client_log.routed_text(lines), f"{routed}/{day}")
-    client_log.malformed_plays(lines).write.mode("overwrite").json(f"{routed}/{day}-unreadable")
-    store.replace_day(client_log.play_records(lines), PLAYS, day)
+    day, unreadable plays into ``routed/<day>-unreadable``.
+
+    The log is read and parsed once, into scratch that the three outputs share.
+    """
+    staged = scratch_path(store.spark, "records")
+    client_log.parse_records(lines).write.partitionBy("kind").parquet(staged)
+    schema = client_log.parse_records(lines).schema
+    records = store.spark.read.schema(schema).parquet(staged)
+    write_by_table(client_log.routed_text(records), f"{routed}/{day}")
+    unreadable = client_log.unreadable_records(records)
+    unreadable.write.mode("overwrite").json(f"{routed}/{day}-unreadable")
+    store.replace_day(client_log.play_records(records), PLAYS, day)
 
 
 def run_week_activity(store: Warehouse, day: str, copy: Copy, active_days: int = 1) -> None:
@@ -192,6 +202,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     place.add_argument("--database", help="catalog database of the warehouse tables")
     parser.add_argument("--log", help="raw log files (client_log)")
     parser.add_argument("--routed", help="folder for routed records (client_log)")
+    parser.add_argument(
+        "--partitions", default=str(SHUFFLE_PARTITIONS),
+        help="shuffle partitions before adaptive coalescing; raise with the input",
+    )
     parser.add_argument("--jdbc-url", help="result database")
     parser.add_argument(
         "--jdbc-property", action="append", default=[], metavar="KEY=VALUE",
@@ -202,7 +216,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _arguments(argv)
-    spark = spark or build_session(f"cadenza-{args.job}")
+    spark = spark or build_session(
+        f"cadenza-{args.job}", spark__sql__shuffle__partitions=args.partitions
+    )
     store = Warehouse(spark, root=args.root, database=args.database)
     copy = None
     if args.jdbc_url:

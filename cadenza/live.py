@@ -14,6 +14,8 @@ from cadenza.session import build_session
 from cadenza.sources import messages
 from cadenza.streaming import runs
 
+STATE_PARTITIONS = 64
+
 
 def start(
     spark: SparkSession, stream: str, log, checkpoint: str, writer_for, **trigger
@@ -39,11 +41,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--servers", required=True, help="broker addresses")
     parser.add_argument("--topic", default=messages.TOPIC)
     parser.add_argument("--checkpoint", required=True, help="shared folder for progress")
+    parser.add_argument(
+        "--partitions", default=str(STATE_PARTITIONS),
+        help="state partitions, fixed once a checkpoint exists",
+    )
     parser.add_argument("--jdbc-url", required=True)
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     args = parser.parse_args(argv)
     properties = dict(item.split("=", 1) for item in args.jdbc_property)
-    spark = build_session(f"cadenza-{args.stream}")
+    spark = build_session(
+        f"cadenza-{args.stream}", spark__sql__shuffle__partitions=args.partitions
+    )
     log = messages.from_kafka(spark, args.servers, topic=args.topic)
     start(
         spark,

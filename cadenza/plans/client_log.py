@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.projection import computed_once
@@ -22,44 +22,46 @@ PLAY_FIELDS = (
     "pkg_id",
     "order_id",
 )
+PLAY, UNREADABLE, OTHER = "play", "unreadable", "other"
+
 _BROKEN = "_broken"
 _SCHEMA = ", ".join(f"{name} string" for name in (*PLAY_FIELDS, _BROKEN))
 
 
-def _unreadable(broken: Column) -> Column:
-    """A body that is blank or not a JSON object."""
-    return broken.isNotNull() | (F.trim("body") == "")
-
+def parse_records(lines: DataFrame) -> DataFrame:
+    """Records with their ``kind`` and, for play records, the fields in ``play``.
 
-def _plays(lines: DataFrame) -> DataFrame:
-    """(body, play fields, broken text) of the play records, each body parsed once."""
-    records = split_lines(lines).where(F.col("table_name") == PLAY_TABLE)
-    fields = F.from_json("body", _SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
-    return computed_once(records, fields, "table_name", "body")
+    Each body is parsed once. A play record whose body is blank or not a JSON object is
+    unreadable.
+    """
+    records = split_lines(lines)
+    is_play = F.col("table_name") == PLAY_TABLE
+    body = F.when(is_play, F.col("body"))
+    play = F.from_json(body, _SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
+    parsed = computed_once(records, F.struct(play.alias("play")), "table_name", "body")
+    unreadable = F.col(f"play.{_BROKEN}").isNotNull() | (F.trim("body") == "")
+    kind = F.when(~is_play, OTHER).when(unreadable, UNREADABLE).otherwise(PLAY)
+    return parsed.withColumn("kind", kind)
 
 
-def play_records(lines: DataFrame) -> DataFrame:
+def play_records(records: DataFrame) -> DataFrame:
     """Fields of the play records; a field missing in the JSON is NULL."""
-    good = _plays(lines).where(~_unreadable(F.col(_BROKEN)))
-    return good.select(*[F.col(name).alias(name.upper()) for name in PLAY_FIELDS])
+    return records.where(F.col("kind") == PLAY).select(
+        *[F.col(f"play.{name}").alias(name.upper()) for name in PLAY_FIELDS]
+    )
 
 
-def malformed_plays(lines: DataFrame) -> DataFrame:
-    """Play records whose body is not a JSON object, for quarantine."""
-    bad = _plays(lines).where(_unreadable(F.col(_BROKEN)))
-    return bad.select("table_name", "body")
+def unreadable_records(records: DataFrame) -> DataFrame:
+    """Unreadable play records as they came, for quarantine."""
+    return records.where(F.col("kind") == UNREADABLE).select("table_name", "body")
 
 
-def routed_text(lines: DataFrame) -> DataFrame:
-    """(table_name, value) of every record: tab-joined fields for plays, the JSON as it
-    came for other tables."""
-    records = split_lines(lines)
-    is_play = F.col("table_name") == PLAY_TABLE
-    body = F.when(is_play, F.col("body"))
-    play = F.from_json(body, _SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
-    parsed = computed_once(records, F.struct(play.alias("play")), "table_name", "body")
+def routed_text(records: DataFrame) -> DataFrame:
+    """(table_name, value) of every readable record: tab-joined fields for plays, the
+    JSON as it came for other tables."""
     # The text form writes NULL as the word null.
     joined = F.concat_ws("\t", *[F.coalesce(f"play.{n}", F.lit("null")) for n in PLAY_FIELDS])
-    return parsed.where(~is_play | ~_unreadable(F.col(f"play.{_BROKEN}"))).select(
-        "table_name", F.when(is_play, joined).otherwise(F.col("body")).alias("value")
+    return records.where(F.col("kind") != UNREADABLE).select(
+        "table_name",
+        F.when(F.col("kind") == PLAY, joined).otherwise(F.col("body")).alias("value"),
     )

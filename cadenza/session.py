@@ -15,8 +15,9 @@ ROCKSDB_STATE_STORE = (
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """Session for the batch jobs and the streams.
 
-    Partition counts are left to adaptive execution: a high initial number that it
-    coalesces. ``conf`` keys use ``__`` for dots and win over the defaults.
+    Adaptive execution coalesces shuffle partitions and splits skewed ones, so callers
+    set their number for the largest input. ``conf`` keys use ``__`` for dots and win
+    over the defaults.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",

@@ -14,10 +14,11 @@ TABLE_FIELD, BODY_FIELD = 2, 3
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Log lines as ``value``.
 
-    A gzip file is one partition; deliver the day as many files, or in a splittable
-    codec, for the scan to run in parallel.
+    A gzip file is one scan task. With fewer scan tasks than cores the lines are spread
+    before they are parsed; deliver the day as many files to need no shuffle.
     """
-    return spark.read.text(path)
+    lines, cores = spark.read.text(path), spark.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
 
 
 def split_lines(lines: DataFrame) -> DataFrame:

@@ -65,10 +65,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A large table, spread over the cores when there are fewer files than that;
-    with enough of them the scan is parallel and nothing is shuffled."""
+    """A large table, spread over the cores when its scan has fewer tasks than that;
+    with enough of them nothing is shuffled."""
     rows, cores = table(spark, folder, name), spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _ship_day() -> Column:

@@ -65,6 +65,15 @@ class Warehouse:
         else:
             df.write.mode("overwrite").parquet(self._path(table))
 
+    def load_days(self, df: DataFrame, table: str) -> None:
+        """First load of many days. Rebalancing gathers each day into few files and
+        splits a day that is too large for one."""
+        writer = df.hint("rebalance", DAY).write.partitionBy(DAY)
+        if self.database:
+            writer.format("parquet").saveAsTable(self._name(table))
+        else:
+            writer.parquet(self._path(table))
+
     def replace_day(self, df: DataFrame, table: str, day: str) -> None:
         """Overwrite one day and leave the others. A rerun gives the same table, and an
         empty result empties the day."""

@@ -157,12 +157,12 @@ def test_log_lines(spark):
          (f"a&b&{P}&{{}}&e&",), (f"a&b&{P}&bad&e&f",), (f"a&b&{P}&&e&f",)],
         "value string",
     )
-    plays = client_log.play_records(lines)
+    plays = client_log.play_records(client_log.parse_records(lines))
     assert plays.columns == [name.upper() for name in client_log.PLAY_FIELDS]
     assert rows(plays) == [("1", "5", *[None] * 8)]
-    assert rows(client_log.malformed_plays(lines), "body") == [("",), ("bad",)]
+    assert rows(client_log.unreadable_records(client_log.parse_records(lines)), "body") == [("",), ("bad",)]
     text = "\t".join(["1", "5", *["null"] * 8])
-    assert rows(client_log.routed_text(lines)) == [(P, text), ("OTHER", '{"x":1}')]
+    assert rows(client_log.routed_text(client_log.parse_records(lines))) == [(P, text), ("OTHER", '{"x":1}')]
 
 
 def test_log_archive(spark, tmp_path):
@@ -171,7 +171,9 @@ def test_log_archive(spark, tmp_path):
     log.write_text("".join(f'1&2&{P}&{{"songid":"{n}"}}&e&f\n' for n in range(50)))
     with tarfile.open(tmp_path / "day.tar.gz", "w:gz") as archive:
         archive.add(log, "day.log")
-    found = client_log.play_records(read_lines(spark, str(tmp_path / "day.tar.gz")))
+    found = client_log.play_records(
+        client_log.parse_records(read_lines(spark, str(tmp_path / "day.tar.gz")))
+    )
     assert rows(found, "SONGID") == sorted((str(n),) for n in range(50))
 
 

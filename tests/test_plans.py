@@ -85,13 +85,13 @@ def test_map_only_jobs_do_not_shuffle(spark):
         F.lit(-1).alias("AMT"), F.lit(1).alias("ORDR_TYPE"), day,
     )
     lines = raw.select(F.col("p_name").alias("value"))
-    for df in (ledger.ledger(orders, "20240130"), client_log.play_records(lines),
+    for df in (ledger.ledger(orders, "20240130"), client_log.play_records(client_log.parse_records(lines)),
                songs.song_dimension(samples.song_catalog(spark, FOLDER))):
         assert "Exchange" not in plan_of(df)
 
 
 def test_log_bodies_are_parsed_once(spark):
     lines = spark.createDataFrame([("a",)], "value string")
-    plan = plan_of(client_log.play_records(lines))
+    plan = plan_of(client_log.play_records(client_log.parse_records(lines)))
     assert plan.lower().count("from_json") == 1
     assert plan.count("split(") == 1
