@@ -12,7 +12,7 @@ from cadenza.functions.dates import normalise_time, shift_day
 from cadenza.operators.snapshot import carry_forward
 from cadenza.plans import client_log, machines, revenue, songs, users
 from cadenza.plans import ledger as ledger_plan
-from cadenza.session import ROCKSDB_STATE_STORE, scratch_path
+from cadenza.session import STREAM_SETTINGS, scratch_path
 from cadenza.sinks.text import write_by_table
 from cadenza.sources import gazetteer, messages, samples
 from cadenza.sources.samples import RUN_DAY as DAY
@@ -193,7 +193,8 @@ def _replayed(spark: SparkSession, folder: str, build: Callable, shape=None) ->
     """Write the events as a message log, run a stream over it to the end, and read back
     every window it emitted."""
     session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE_STORE)
+    for key, value in STREAM_SETTINGS.items():
+        session.conf.set(key, value)
     # State partitions are fixed for a stream's life; size them by the cluster's cores.
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     log, out = scratch_path(spark, "log"), scratch_path(spark, "windows")

@@ -7,9 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB_STATE_STORE = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
+# State outside the heap, saved as changes, without a count kept on every write.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -24,7 +29,7 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE_STORE,
+        **STREAM_SETTINGS,
         # Call sites of column operations cost two driver calls each.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
