@@ -22,7 +22,7 @@ from cadenza.sinks.jdbc import dated, replace_table
 from cadenza.sinks.text import write_by_table
 from cadenza.sources.client_log import read_lines
 from cadenza.sources.gazetteer import parse_answers
-from cadenza.sources.tables import Warehouse, on_day
+from cadenza.sources.tables import Warehouse
 
 # Table names of the warehouse.
 PLAYS = "to_client_song_play_operate_req_d"
@@ -79,21 +79,24 @@ class Job:
 
 def _features(store: Warehouse, day: str) -> DataFrame:
     """Without earlier output, as on the first day, all peaks are 0."""
+    first, before = shift_day(day, -songs.FAR_DAYS), shift_day(day, -1)
     if store.exists(FEATURES):
-        history = store.read(FEATURES).select("NBR", "SING_CNT", "SUPP_CNT", "data_dt")
+        history = store.read_days(FEATURES, first, before)
     else:
         history = store.spark.createDataFrame(
             [], "NBR string, SING_CNT bigint, SUPP_CNT bigint, data_dt string"
         )
-    return songs.song_features(store.read(PLAYS), store.read(SONGS), history, day)
+    plays = store.read_days(PLAYS, first, day)
+    return songs.song_features(plays, store.read(SONGS), history, day)
 
 
 def _locations(store: Warehouse, day: str) -> DataFrame:
     yesterday = None
     if store.exists(LOCATIONS):
-        yesterday = on_day(store.read(LOCATIONS), shift_day(day, -1))
+        yesterday = store.read_days(LOCATIONS, shift_day(day, -1))
+    positions = store.read_days(POSITIONS, shift_day(day, -machines.LOCATION_DAYS), day)
     cells = parse_answers(store.read(ANSWERS), machines.CELL_DIGITS)
-    return machines.machine_locations(store.read(POSITIONS), cells, yesterday, day)
+    return machines.machine_locations(positions, cells, yesterday, day)
 
 
 def _channels(store: Warehouse) -> dict[str, DataFrame]:
@@ -102,7 +105,7 @@ def _channels(store: Warehouse) -> dict[str, DataFrame]:
 
 def _stat(store: Warehouse, day: str) -> DataFrame:
     inputs = (MACHINES, LOCATIONS, LEDGER, USERS)
-    return revenue.machine_stat(*[on_day(store.read(name), day) for name in inputs])
+    return revenue.machine_stat(*[store.read_days(name, day) for name in inputs])
 
 
 def _top(df: DataFrame) -> DataFrame:
@@ -115,13 +118,13 @@ JOBS: dict[str, Job] = {
     ),
     "song_features": Job(_features, FEATURES),
     "song_heat": Job(
-        lambda store, day: songs.song_heat_rank(store.read(FEATURES), day),
+        lambda store, day: songs.song_heat_rank(store.read_days(FEATURES, day), day),
         SONG_RANK,
         copy="tm_song_rsi",
         copied=_top,
     ),
     "singer_heat": Job(
-        lambda store, day: songs.singer_heat_rank(store.read(FEATURES), day),
+        lambda store, day: songs.singer_heat_rank(store.read_days(FEATURES, day), day),
         SINGER_RANK,
         copy="tm_singer_rsi",
         copied=_top,
@@ -135,21 +138,21 @@ JOBS: dict[str, Job] = {
     ),
     "machine_locations": Job(_locations, LOCATIONS, copy="tw_mac_loc_d", with_day=False),
     "ledger": Job(
-        lambda store, day: ledger.ledger(store.read(CONSUMPTION), day),
+        lambda store, day: ledger.ledger(store.read_days(CONSUMPTION, day), day),
         LEDGER,
         copy="TW_CNSM_BRIEF_D",
     ),
     "active_users": Job(
-        lambda store, day: users.active_users(_channels(store), store.read(LOGINS), day), USERS
+        lambda store, day: users.active_users(_channels(store), store.read_days(LOGINS, day), day), USERS
     ),
     "machine_stat": Job(_stat, STAT, copy="tm_machine_rev_infos"),
     "merchant_share": Job(
-        lambda store, day: revenue.merchant_share(store.read(STAT), day),
+        lambda store, day: revenue.merchant_share(store.read_days(STAT, day), day),
         MERCHANTS,
         copy="tm_usr_mrchnt_stat_d",
     ),
     "region_totals": Job(
-        lambda store, day: revenue.region_totals(store.read(STAT), day),
+        lambda store, day: revenue.region_totals(store.read_days(STAT, day), day),
         REGIONS,
         copy="tm_mac_region_stat_d",
     ),
@@ -167,7 +170,7 @@ def run_job(name: str, store: Warehouse, day: str, copy: Copy | None = None) ->
         return
     store.replace_day(result, job.output, day)
     if copy is not None and job.copy is not None:
-        written = on_day(store.read(job.output), day)
+        written = store.read_days(job.output, day)
         rows = dated(written, day) if job.with_day else written.drop("data_dt")
         copy(job.copied(rows), job.copy)
 
@@ -190,7 +193,8 @@ def run_client_log(store: Warehouse, lines: DataFrame, day: str, routed: str) ->
 
 def run_week_activity(store: Warehouse, day: str, copy: Copy, active_days: int = 1) -> None:
     """Copy the week's activity to the result database; it has no warehouse table."""
-    copy(users.week_activity(store.read(USERS), day, active_days), "user_7days_active")
+    week = store.read_days(USERS, shift_day(day, -7), day)
+    copy(users.week_activity(week, day, active_days), "user_7days_active")
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:

@@ -29,6 +29,7 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
         **STREAM_SETTINGS,
         # Call sites of column operations cost two driver calls each.
         "spark.python.sql.dataFrameDebugging.enabled": "false",

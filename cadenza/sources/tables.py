@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from cadenza.functions.dates import DAY_FORMAT, shift_day
+
 DAY = "data_dt"
 _ROWS = "rows"
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
@@ -44,19 +48,39 @@ class Warehouse:
         if self.database:
             return self.spark.table(self._name(table))
         path = self._path(table)
-        schema = self.spark.read.parquet(path).schema
-        if DAY in schema.names:
-            schema[DAY].dataType = StringType()
-            return self.spark.read.schema(schema).parquet(path)
-        return self.spark.read.parquet(path)
+        return self._read_files([path], path)
+
+    def read_days(self, table: str, first: str, last: str | None = None) -> DataFrame:
+        """Rows of ``first``..``last``, or of one day. A folder's other days are not even
+        listed, so the cost does not grow with the table's history."""
+        last = last or first
+        if self.root:
+            path = self._path(table)
+            span = datetime.strptime(last, DAY_FORMAT) - datetime.strptime(first, DAY_FORMAT)
+            days = [shift_day(first, n) for n in range(span.days + 1)]
+            folders = [f for f in (f"{path}/{DAY}={day}" for day in days) if self._has(f)]
+            if folders:
+                return self._read_files(folders, path)
+        return between_days(self.read(table), first, last)
+
+    def _read_files(self, paths: list[str], base: str) -> DataFrame:
+        reader = self.spark.read.option("basePath", base)
+        rows = reader.parquet(*paths)
+        schema = rows.schema
+        if DAY not in schema.names or schema[DAY].dataType == StringType():
+            return rows
+        schema[DAY].dataType = StringType()
+        return reader.schema(schema).parquet(*paths)
+
+    def _has(self, path: str) -> bool:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return place.getFileSystem(conf).exists(place)
 
     def exists(self, table: str) -> bool:
         if self.database:
             return self.spark.catalog.tableExists(self._name(table))
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._path(table))
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return path.getFileSystem(conf).exists(path)
+        return self._has(self._path(table))
 
     def replace(self, df: DataFrame, table: str) -> None:
         """Overwrite a table that has no day partition."""

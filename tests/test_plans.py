@@ -43,6 +43,15 @@ def test_day_filters_prune_partitions(store):
         assert "data_dt" in filters and "cast" not in filters.lower()
 
 
+def test_days_are_read_without_listing_the_others(store):
+    wanted = {"20240129", "20240130"}
+    df = store.read_days("plays", "20240129", "20240130")
+    assert {path.split("data_dt=")[1][:8] for path in df.inputFiles()} == wanted
+    assert dict(df.dtypes)["data_dt"] == "string"
+    assert {r[0] for r in df.select("data_dt").distinct().collect()} == wanted
+    assert store.read_days("plays", "20300101").count() == 0
+
+
 def test_features_read_only_their_columns(store, spark):
     plays = store.read("plays")
     dimension = songs.song_dimension(samples.song_catalog(spark, FOLDER))
