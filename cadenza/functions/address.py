@@ -66,12 +66,12 @@ def city(address: Column) -> Column:
     def has(pattern: str) -> Column:
         return address.rlike(pattern)
 
-    to_city = _between("区", "市")
+    to_city, to_district = _between("区", "市"), _up_to_next("区", "区")
     rules = [(address.contains(name), _extract(address, to_city)) for name in _REGIONS_OF_CITIES]
     in_xinjiang = address.contains(_XINJIANG)
     rules += [
         (in_xinjiang & has(to_city), _extract(address, to_city)),
-        (in_xinjiang & has(_up_to_next("区", "区")), _extract(address, _up_to_next("区", "区"))),
+        (in_xinjiang & has(to_district), _extract(address, to_district)),
         (in_xinjiang, _extract(address, _up_to_next("区", "州"))),
     ]
     district, county = _between("市", "区"), _between("市", "县")

@@ -143,7 +143,10 @@ JOBS: dict[str, Job] = {
         copy="TW_CNSM_BRIEF_D",
     ),
     "active_users": Job(
-        lambda store, day: users.active_users(_channels(store), store.read_days(LOGINS, day), day), USERS
+        lambda store, day: users.active_users(
+            _channels(store), store.read_days(LOGINS, day), day
+        ),
+        USERS,
     ),
     "machine_stat": Job(_stat, STAT, copy="tm_machine_rev_infos"),
     "merchant_share": Job(

@@ -40,6 +40,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("stream", choices=["visitors", "songs"])
     parser.add_argument("--servers", required=True, help="broker addresses")
     parser.add_argument("--topic", default=messages.TOPIC)
+    parser.add_argument(
+        "--offset", action="append", metavar="PARTITION=OFFSET",
+        help="first start of one partition; without any, all partitions from the beginning",
+    )
     parser.add_argument("--checkpoint", required=True, help="shared folder for progress")
     parser.add_argument(
         "--partitions", default=str(STATE_PARTITIONS),
@@ -52,7 +56,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(
         f"cadenza-{args.stream}", spark__sql__shuffle__partitions=args.partitions
     )
-    log = messages.from_kafka(spark, args.servers, topic=args.topic)
+    offsets = None
+    if args.offset:
+        pairs = (item.split("=", 1) for item in args.offset)
+        offsets = {int(partition): int(at) for partition, at in pairs}
+    log = messages.from_kafka(spark, args.servers, topic=args.topic, offsets=offsets)
     start(
         spark,
         args.stream,

@@ -8,27 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOPIC = "userlog"
-DEFAULT_PARTITIONS = 3
 _BODY = "mid string, uid string, songid string, songname string"
 _LOG = "value string, timestamp timestamp"
 
 
-def starting_offsets(
-    topic: str = TOPIC, offsets: dict[int, int] | None = None
-) -> str:
-    """First-start positions as the broker source wants them; offset 0 of three
-    partitions by default. A restart takes its checkpoint's positions instead."""
-    positions = offsets or dict.fromkeys(range(DEFAULT_PARTITIONS), 0)
-    return json.dumps({topic: {str(part): at for part, at in sorted(positions.items())}})
-
-
 def kafka_options(
     servers: str, topic: str = TOPIC, offsets: dict[int, int] | None = None
 ) -> dict[str, str]:
-    return {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": starting_offsets(topic, offsets),
+    """Where a first start begins: the first message kept of all partitions, or the given
+    offset of just the given partitions. A restart takes its checkpoint's positions."""
+    options = {"kafka.bootstrap.servers": servers}
+    if offsets is None:
+        return options | {"subscribe": topic, "startingOffsets": "earliest"}
+    positions = {str(part): at for part, at in sorted(offsets.items())}
+    return options | {
+        "assign": json.dumps({topic: sorted(offsets)}),
+        "startingOffsets": json.dumps({topic: positions}),
     }
 
 

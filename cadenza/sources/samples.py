@@ -50,7 +50,11 @@ def _pick(key: Column, *choices) -> Column:
     """Choice number ``key``; the last one for any other key."""
     columns = [c if isinstance(c, Column) else F.lit(c).cast("string") for c in choices]
     cases = list(enumerate(columns[:-1]))
-    return reduce(lambda rest, case: F.when(key == case[0], case[1]).otherwise(rest), cases, columns[-1])
+
+    def choose(rest: Column, case: tuple[int, Column]) -> Column:
+        return F.when(key == case[0], case[1]).otherwise(rest)
+
+    return reduce(choose, cases, columns[-1])
 
 
 @lru_cache(maxsize=None)
@@ -123,9 +127,12 @@ def song_catalog(spark: SparkSession, folder: str) -> DataFrame:
         F.lit('{"name":"Singer '), _text(singer), F.lit('","id":'), _text(singer), F.lit("}")
     )
     two = F.concat(F.lit('{"name":"Guest '), _text(size), F.lit('","id":'), _text(size), F.lit("}"))
-    day = F.date_format(F.date_add(F.lit("2010-01-01").cast("date"), (key % 3000).cast("int")), "yyyy-MM-dd")
+    released = F.date_add(F.lit("2010-01-01").cast("date"), (key % 3000).cast("int"))
+    day = F.date_format(released, "yyyy-MM-dd")
     album = F.concat(F.lit('[{"name":"Album '), F.col("p_brand"), F.lit('","id":1}]'))
     single = F.concat(F.lit("["), one, F.lit("]"))
+    company = F.concat(F.lit('{"name":"Co '), F.col("p_brand"), F.lit('"}'))
+    kinds = [F.concat(F.lit("["), _text(size), F.lit(end)) for end in (".0,9.5]", ".7]")]
     return table(spark, folder, "part").select(
         F.when(key % 31 == 30, F.lit("")).otherwise(_text(key)).alias("NBR"),
         F.when(size != 1, F.col("p_name")).alias("NAME"),
@@ -142,11 +149,9 @@ def song_catalog(spark: SparkSession, folder: str) -> DataFrame:
         _pick(key % 4, F.concat(day, F.lit(" 03:04:05")), _text(F.lit(1577934245000) + key * 1000),
               "x", None).alias("POST_TIME"),
         *[_text(key % (place + 2)).alias(name) for place, name in enumerate(PLAIN_TAIL)],
-        _pick((key / 4).cast("bigint") % 4, F.concat(F.lit('{"name":"Co '), F.col("p_brand"), F.lit('"}')),
-              "{}", "bad", None).alias("AUTH_CO"),
+        _pick((key / 4).cast("bigint") % 4, company, "{}", "bad", None).alias("AUTH_CO"),
         _text(key % 2).alias("STATE"),
-        _pick((key / 2).cast("bigint") % 4, F.concat(F.lit("["), _text(size), F.lit(".0,9.5]")), " ", "[]",
-              F.concat(F.lit("["), _text(size), F.lit(".7]"))).alias("PRDCT_TYPE"),
+        _pick((key / 2).cast("bigint") % 4, kinds[0], " ", "[]", kinds[1]).alias("PRDCT_TYPE"),
     )
 
 
@@ -190,9 +195,8 @@ def machine_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
     before, after = zip(*(form.split("{}") for form in ADDRESSES))
     form = (key % len(ADDRESSES)).cast("int")
-    address = F.concat(
-        F.get(F.array(*map(F.lit, before)), form), "n_name", F.get(F.array(*map(F.lit, after)), form)
-    )
+    opening, closing = (F.get(F.array(*map(F.lit, part)), form) for part in (before, after))
+    address = F.concat(opening, "n_name", closing)
     return {
         "machines": suppliers.where(nation != 3).select(
             mid,
@@ -261,7 +265,7 @@ def machine_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def channel_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Users of the four channels; some are in two."""
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    key = F.col("c_custkey")
     day = F.date_format(
         F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000).cast("int")), "yyyyMMdd"
     )
@@ -281,7 +285,7 @@ def channel_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.when(key % 2 == 0, F.lit("1")).alias("USR_TYPE"),
         _text(key % 2).alias("IS_CERT"),
         _text(key % 3).alias("IS_STDNT"),
-        segment.alias("segment"),
+        F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").alias("nation"),
     )
     segment = F.col("segment")
@@ -297,7 +301,11 @@ def channel_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "alipay": channel(segment == "FURNITURE", "ALY_ID"),
         "qq": channel(segment == "HOUSEHOLD", "QQID", *own_types),
         "app": channel(
-            (segment == "MACHINERY") | (F.col("nation") == 7), "APP_ID", *own_types, "LOG_MDE", "SCORE"
+            (segment == "MACHINERY") | (F.col("nation") == 7),
+            "APP_ID",
+            *own_types,
+            "LOG_MDE",
+            "SCORE",
         ),
     }
 

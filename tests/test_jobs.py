@@ -157,12 +157,13 @@ def test_log_lines(spark):
          (f"a&b&{P}&{{}}&e&",), (f"a&b&{P}&bad&e&f",), (f"a&b&{P}&&e&f",)],
         "value string",
     )
-    plays = client_log.play_records(client_log.parse_records(lines))
+    records = client_log.parse_records(lines)
+    plays = client_log.play_records(records)
     assert plays.columns == [name.upper() for name in client_log.PLAY_FIELDS]
     assert rows(plays) == [("1", "5", *[None] * 8)]
-    assert rows(client_log.unreadable_records(client_log.parse_records(lines)), "body") == [("",), ("bad",)]
+    assert rows(client_log.unreadable_records(records), "body") == [("",), ("bad",)]
     text = "\t".join(["1", "5", *["null"] * 8])
-    assert rows(client_log.routed_text(client_log.parse_records(lines))) == [(P, text), ("OTHER", '{"x":1}')]
+    assert rows(client_log.routed_text(records)) == [(P, text), ("OTHER", '{"x":1}')]
 
 
 def test_log_archive(spark, tmp_path):
@@ -255,10 +256,11 @@ def test_week_activity_counts_rows(spark):
     base = dict.fromkeys(("REF_UID", "BIRTHDAY", "MSISDN", "REG_DT", "LEVEL"), "v")
     days = {"in": [DAY], "twice": [DAY, shift_day(DAY, -7)], "old": [shift_day(DAY, -1)],
             "outside": [DAY, shift_day(DAY, -8)], "doubled": [DAY, DAY]}
-    data = [dict(base, UID=u, data_dt=d, REG_CHNL="2", GDR="2") for u, ds in days.items() for d in ds]
-    df = spark.createDataFrame(data)
+    base |= {"REG_CHNL": "2", "GDR": "2"}
+    df = spark.createDataFrame([dict(base, UID=u, data_dt=d) for u in days for d in days[u]])
     assert [r[0] for r in rows(users.week_activity(df, DAY), "UID")] == ["in", "outside"]
-    assert [r[0] for r in rows(users.week_activity(df, DAY, 2), "UID")] == ["doubled", "doubled", "twice"]
+    twice = [r[0] for r in rows(users.week_activity(df, DAY, 2), "UID")]
+    assert twice == ["doubled", "doubled", "twice"]
     assert rows(users.week_activity(df, DAY), "REG_CHNL", "GDR")[0] == ("支付宝", "女")
 
 

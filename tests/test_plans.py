@@ -94,8 +94,9 @@ def test_map_only_jobs_do_not_shuffle(spark):
         F.lit(-1).alias("AMT"), F.lit(1).alias("ORDR_TYPE"), day,
     )
     lines = raw.select(F.col("p_name").alias("value"))
-    for df in (ledger.ledger(orders, "20240130"), client_log.play_records(client_log.parse_records(lines)),
-               songs.song_dimension(samples.song_catalog(spark, FOLDER))):
+    plays = client_log.play_records(client_log.parse_records(lines))
+    dimension = songs.song_dimension(samples.song_catalog(spark, FOLDER))
+    for df in (ledger.ledger(orders, "20240130"), plays, dimension):
         assert "Exchange" not in plan_of(df)
 
 
