@@ -19,6 +19,14 @@ from cadenza.checks.queries import QUERIES  # noqa: E402
 from cadenza.session import build_session  # noqa: E402
 
 
+def scale(folder: str) -> float | str:
+    name = Path(folder).name.removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -47,7 +55,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": Path(folder).name.removeprefix("sf"),
+                "sf": scale(folder),
             }
         )
     )

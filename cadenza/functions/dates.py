@@ -26,20 +26,19 @@ def normalise_time(text: Column) -> Column:
     Time text may have a tail (``.0``), one-digit fields, and fields past their range,
     which roll over (month 13 is January). Milliseconds may use exponent notation.
     """
-    strict = F.try_to_timestamp(F.substring(text, 1, 19), F.lit(TIME_PATTERN))
     year, month, dom, hour, minute, second = (
         F.regexp_extract(text, _LOOSE_TIME, group).try_cast("int") for group in range(1, 7)
     )
     rolled = F.make_timestamp(year, *map(F.lit, (1, 1, 0, 0, 0))) + F.make_interval(
         months=month - 1, days=dom - 1, hours=hour, mins=minute, secs=second
     )
-    loose = F.when(text.rlike(_LOOSE_TIME), rolled)
+    stamp = F.when(text.rlike(_LOOSE_TIME), rolled)
     millis = text.try_cast("decimal(38,6)").try_cast("bigint")
     instant = F.when(
         F.abs(millis) <= _LAST_MILLI_OF_YEAR_9999, F.timestamp_millis(millis)
     )
     return F.coalesce(
-        F.date_format(F.coalesce(strict, loose, instant), TIME_PATTERN), F.lit("")
+        F.date_format(F.coalesce(stamp, instant), TIME_PATTERN), F.lit("")
     )
 
 

@@ -72,7 +72,8 @@ def machine_stat(
     """Every machine with its turnover, one row per package and payment type.
 
     Inputs are one day's tables. The location snapshot's address is preferred. Active
-    users by registration machine repeat on each of its rows.
+    users by registration machine repeat on each of its rows. The snapshot's machine
+    number is an integer, so its join comes first, before rows multiply by package.
     """
     new_users = users.groupBy(F.col("REG_MID").alias("MID")).agg(
         F.count("UID").alias("NEW_USR_CNT")
@@ -91,9 +92,9 @@ def machine_stat(
         return F.coalesce(F.col(name), F.lit(0).cast(MONEY)).cast(MONEY).alias(name)
 
     return (
-        machines.join(machine_turnover(ledger), "MID", "left")
+        machines.join(placed, F.col("MID").try_cast("int") == F.col("_mid"), "left")
         .join(new_users, "MID", "left")
-        .join(placed, F.col("MID").try_cast("int") == F.col("_mid"), "left")
+        .join(machine_turnover(ledger), "MID", "left")
         .select(
             "MID",
             *_DIMENSIONS,

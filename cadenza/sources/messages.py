@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.operators.projection import computed_once
+
 TOPIC = "userlog"
 _BODY = "mid string, uid string, songid string, songname string"
 _LOG = "value string, timestamp timestamp"
@@ -44,6 +46,5 @@ def from_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 def parse(messages: DataFrame) -> DataFrame:
     """mid, uid, songid, songname and ``ts``; text that is not JSON gives NULL fields."""
-    return messages.select(
-        F.from_json("value", _BODY).alias("body"), F.col("timestamp").alias("ts")
-    ).select("ts", "body.*")
+    timed = messages.withColumnRenamed("timestamp", "ts")
+    return computed_once(timed, F.from_json("value", _BODY), "ts")

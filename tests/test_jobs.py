@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import tarfile
 from decimal import Decimal
 
@@ -252,6 +253,39 @@ def test_refunds_need_revenue_of_the_same_key(spark):
     ]
 
 
+def test_turnover_equals_two_aggregates_and_a_join(spark):
+    """Random ledger with one busy machine and missing keys, against the plain form."""
+    draw = random.Random(7)
+    ledger_rows = [
+        ("hot" if i % 3 == 0 else f"m{draw.randrange(8)}", draw.choice([1, 2, None]),
+         draw.choice([1, 2, None]), draw.choice([None, *(f"u{n}" for n in range(25))]),
+         draw.choice([0, 1, 2, None]), draw.choice([None, "o"]), draw.choice([None, 1, 5]), 1)
+        for i in range(1500)
+    ]
+    df = spark.createDataFrame(
+        ledger_rows,
+        "MID string, PKG_ID int, PAY_TYPE int, UID string, ABN_TYP int, ORDR_ID string, "
+        "COIN_PRC int, COIN_CNT int",
+    )
+    df.createOrReplaceTempView("turnover_rows")
+    side = """SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) users, count(ORDR_ID) orders,
+                     sum(COIN_CNT * COIN_PRC) money
+              FROM turnover_rows WHERE ABN_TYP = {} GROUP BY MID, PKG_ID, PAY_TYPE"""
+    wanted = spark.sql(f"""
+        SELECT c.MID, c.PKG_ID, c.PAY_TYPE, c.users, c.orders, coalesce(c.money, 0),
+               coalesce(d.users, 0), coalesce(d.orders, 0), coalesce(d.money, 0)
+        FROM ({side.format(0)}) c LEFT JOIN ({side.format(2)}) d
+          ON c.MID = d.MID AND c.PKG_ID = d.PKG_ID AND c.PAY_TYPE = d.PAY_TYPE""")
+    found = rows(revenue.machine_turnover(df), "MID", "PKG_ID", "PAY_TYPE", "CNSM_USR_CNT",
+                 "REV_ORDR_CNT", "TOT_REV", "REF_USR_CNT", "REF_ORDR_CNT", "TOT_REF")
+    assert len(found) > 50
+
+    def plain(records):
+        return sorted([[str(v) for v in r[:3]] + [float(v) for v in r[3:]] for r in records])
+
+    assert plain(found) == plain(wanted.collect())
+
+
 def test_week_activity_counts_rows(spark):
     base = dict.fromkeys(("REF_UID", "BIRTHDAY", "MSISDN", "REG_DT", "LEVEL"), "v")
     days = {"in": [DAY], "twice": [DAY, shift_day(DAY, -7)], "old": [shift_day(DAY, -1)],

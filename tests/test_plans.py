@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from cadenza.checks import queries as catalog
-from cadenza.plans import client_log, ledger, songs
+from cadenza.plans import client_log, ledger, machines, songs
 from cadenza.sources import samples
 from cadenza.sources.tables import Warehouse, between_days, on_day
 
@@ -85,6 +85,41 @@ def test_full_rank_has_no_window_over_the_rows(spark):
     assert "Window" not in plan and "BroadcastHashJoin" in plan
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as with inputs too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def shuffles(plan: str, key: str) -> int:
+    return plan.split("Initial Plan")[0].count(f"Exchange hashpartitioning({key}#")
+
+
+def test_machine_joins_share_one_partitioning(spark, no_broadcast, tmp_path):
+    inputs = {}
+    for name, df in samples.machine_tables(spark, FOLDER).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        inputs[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = plan_of(machines.machine_dimension(**inputs))
+    assert plan.count("SortMergeJoin") == 8
+    assert shuffles(plan, "MID") == 5  # the key universe and one per joined table
+
+
+def test_feature_joins_reuse_the_aggregate_partitioning(spark, no_broadcast, store):
+    plays = store.read("plays")
+    dimension = songs.song_dimension(samples.song_catalog(spark, FOLDER))
+    history = plays.select("SONGID", "data_dt").groupBy("SONGID", "data_dt").count().selectExpr(
+        "SONGID AS NBR", "count AS SING_CNT", "0L AS SUPP_CNT", "data_dt"
+    )
+    plan = plan_of(songs.song_features(plays, dimension, history, "20240130"))
+    assert plan.count("SortMergeJoin") == 2
+    # Two groupings of plays, two of the history (one above), and the dimension.
+    assert shuffles(plan, "NBR") + shuffles(plan, "SONGID") == 5
+
+
 def test_map_only_jobs_do_not_shuffle(spark):
     day = F.lit("20240130").alias("data_dt")
     raw = spark.read.parquet(f"{FOLDER}/part.parquet")
