@@ -12,6 +12,7 @@ from cadenza.sinks.jdbc import replace_table
 from cadenza.streaming import counts
 
 Write = Callable[[DataFrame], None]
+Shape = Callable[[DataFrame], DataFrame]
 
 # Triggers and result tables.
 VISITOR_TRIGGER = "5 seconds"
@@ -29,7 +30,7 @@ def latest_window(batch: DataFrame) -> DataFrame:
     return batch.where(F.col("window_end") == F.lit(last))
 
 
-def replace_with_latest(write: Write, shape: Write | Callable = lambda df: df):
+def replace_with_latest(write: Write, shape: Shape):
     """foreachBatch function: give ``write`` the last window, shaped; skip empty batches,
     so the table keeps the last window that had rows."""
 
@@ -88,7 +89,7 @@ def start_hot_songs(
 
 
 def replay_to_files(
-    rows: DataFrame, path: str, checkpoint: str, shape: Callable | None = None
+    rows: DataFrame, path: str, checkpoint: str, shape: Shape | None = None
 ) -> str:
     """Run a stream over all input present and keep every window, as Parquet.
 

@@ -52,6 +52,16 @@ def test_days_are_read_without_listing_the_others(store):
     assert store.read_days("plays", "20300101").count() == 0
 
 
+def test_day_stays_text_when_the_session_infers_types(spark, store):
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    try:
+        for df in (store.read("plays"), store.read_days("plays", "20240130")):
+            assert dict(df.dtypes)["data_dt"] == "string"
+            assert on_day(df, "20240130").count() > 0
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+
+
 def test_features_read_only_their_columns(store, spark):
     plays = store.read("plays")
     dimension = songs.song_dimension(samples.song_catalog(spark, FOLDER))
