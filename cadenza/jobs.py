@@ -207,6 +207,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     place = parser.add_mutually_exclusive_group(required=True)
     place.add_argument("--root", help="folder of the warehouse tables")
     place.add_argument("--database", help="catalog database of the warehouse tables")
+    parser.add_argument("--external", help="folder for new external tables of --database")
     parser.add_argument("--log", help="raw log files (client_log)")
     parser.add_argument("--routed", help="folder for routed records (client_log)")
     parser.add_argument(
@@ -226,7 +227,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or build_session(
         f"cadenza-{args.job}", spark__sql__shuffle__partitions=args.partitions
     )
-    store = Warehouse(spark, root=args.root, database=args.database)
+    store = Warehouse(spark, args.root, args.database, args.external)
     copy = None
     if args.jdbc_url:
         properties = dict(item.split("=", 1) for item in args.jdbc_property)

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_by_table(routed: DataFrame, path: str) -> None:
+def write_by_table(routed: DataFrame, path: str, gather: bool = True) -> None:
     """Write ``value`` below ``path/table_name=<name>``, values only.
 
-    Each task writes the record types it holds, so no shuffle and no hot writer.
+    Gathering rebalances by record type, so a rare type is one file and a frequent one is
+    split over many tasks. Without it nothing is shuffled, but each task writes a file
+    for every type it holds.
     """
-    routed.select("table_name", "value").write.mode("overwrite").partitionBy(
-        "table_name"
-    ).text(path)
+    rows = routed.select("table_name", "value")
+    if gather:
+        rows = rows.hint("rebalance", "table_name")
+    rows.write.mode("overwrite").partitionBy("table_name").text(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -26,16 +26,24 @@ def between_days(df: DataFrame, first: str, last: str) -> DataFrame:
 
 
 class Warehouse:
-    """Tables below a folder, or in a database of the session's catalog."""
+    """Tables below a folder, or in a database of the session's catalog.
+
+    With ``external`` new catalog tables are external ones below that folder.
+    """
 
     def __init__(
-        self, spark: SparkSession, root: str | None = None, database: str | None = None
+        self,
+        spark: SparkSession,
+        root: str | None = None,
+        database: str | None = None,
+        external: str | None = None,
     ):
         if (root is None) == (database is None):
             raise ValueError("give either root or database")
         self.spark = spark
         self.root = root.rstrip("/") if root else None
         self.database = database
+        self.external = external.rstrip("/") if external else None
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table.lower()}"
@@ -43,6 +51,12 @@ class Warehouse:
     def _name(self, table: str) -> str:
         return f"{self.database}.{table.lower()}"
 
+    def _save(self, writer: DataFrameWriter, table: str) -> None:
+        """Write to a catalog table, made when absent."""
+        if self.external:
+            writer = writer.option("path", f"{self.external}/{table.lower()}")
+        writer.format("parquet").saveAsTable(self._name(table))
+
     def read(self, table: str) -> DataFrame:
         """The whole table; the day stays text whatever its digits look like."""
         if self.database:
@@ -85,7 +99,7 @@ class Warehouse:
     def replace(self, df: DataFrame, table: str) -> None:
         """Overwrite a table that has no day partition."""
         if self.database:
-            df.write.mode("overwrite").format("parquet").saveAsTable(self._name(table))
+            self._save(df.write.mode("overwrite"), table)
         else:
             df.write.mode("overwrite").parquet(self._path(table))
 
@@ -94,7 +108,7 @@ class Warehouse:
         splits a day that is too large for one."""
         writer = df.hint("rebalance", DAY).write.partitionBy(DAY)
         if self.database:
-            writer.format("parquet").saveAsTable(self._name(table))
+            self._save(writer, table)
         else:
             writer.parquet(self._path(table))
 
@@ -104,14 +118,15 @@ class Warehouse:
         if self.root:
             df.drop(DAY).write.mode("overwrite").parquet(f"{self._path(table)}/{DAY}={day}")
         else:
-            self._replace_catalog_day(df, self._name(table), day)
+            self._replace_catalog_day(df, table, day)
 
-    def _replace_catalog_day(self, df: DataFrame, name: str, day: str) -> None:
+    def _replace_catalog_day(self, df: DataFrame, table: str, day: str) -> None:
+        name = self._name(table)
         written = Observation()
         dated = df.drop(DAY).withColumn(DAY, F.lit(day))
         counted = dated.observe(written, F.count("*").alias(_ROWS))
         if not self.spark.catalog.tableExists(name):
-            counted.write.format("parquet").partitionBy(DAY).saveAsTable(name)
+            self._save(counted.write.partitionBy(DAY), table)
             return
         columns = self.spark.table(name).columns
         before = self.spark.conf.get(_OVERWRITE)

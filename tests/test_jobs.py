@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import tarfile
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -123,6 +124,8 @@ def test_empty_day_replaces_a_full_one(spark, tmp_path):
     stores = [Warehouse(spark, root=str(tmp_path / "w"))]
     spark.sql("CREATE DATABASE IF NOT EXISTS music")
     stores.append(Warehouse(spark, database="music"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS outside")
+    stores.append(Warehouse(spark, database="outside", external=str(tmp_path / "ext")))
     for store in stores:
         for day in ("20240129", DAY):
             store.replace_day(on_day(plays, day), "plays", day)
@@ -133,6 +136,8 @@ def test_empty_day_replaces_a_full_one(spark, tmp_path):
         store.replace_day(on_day(plays, DAY).limit(0), "plays", DAY)
         assert rows(store.read("plays").groupBy("data_dt").count()) == full[:1]
         assert store.exists("plays") and not store.exists("other")
+    kinds = [spark.catalog.getTable(f"{name}.plays").tableType for name in ("music", "outside")]
+    assert kinds == ["MANAGED", "EXTERNAL"] and (tmp_path / "ext" / "plays").is_dir()
 
 
 def test_catalog_job_reads_its_own_history(spark, tmp_path):
@@ -219,6 +224,27 @@ def test_blank_first_position_drops_the_machine(spark):
     assert rows(found) == [(2, "30", "120", 2), (8, "30", "120", 1)]
 
 
+def test_positions_match_brute_force(spark):
+    """A third of the reports come from one machine; ties, blanks and repeats are common."""
+    draw = random.Random(3)
+    reports = [
+        (draw.choice([None, *range(12)]), "1" if i % 3 == 0 else str(draw.randrange(2, 30)),
+         draw.choice(["", "30", "31", None]), draw.choice(["120", "121", ""]))
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(reports, "UID int, MID string, LAT string, LNG string")
+    found = rows(machines.busiest_positions(df.withColumn("data_dt", F.lit(DAY)), DAY))
+    counts = Counter((mid, lat, lng) for _, mid, lat, lng in set(reports))
+    wanted = []
+    for machine in {mid for mid, _, _ in counts}:
+        places = [(-n, lat is not None, lat or "", lng)  # a missing latitude sorts first
+                  for (mid, lat, lng), n in counts.items() if mid == machine]
+        n, _, lat, lng = min(places)
+        if lat and lng:
+            wanted.append((int(machine), lat, lng, -n))
+    assert found == sorted(wanted, key=str) and len(found) > 5
+
+
 def test_geocoder_answers(spark):
     body = ('{"formatted_address":"F","addressComponent":{"province":"P","city":[],'
             '"building":{"name":"B"},"businessAreas":[{"id":1}]}}')
