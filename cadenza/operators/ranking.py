@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from cadenza.session import checkpointed
 
-# Rows of the offset table that may be broadcast (three small columns each).
-MAX_BROADCAST_ROWS = 200_000
+# Measured size up to which the offset table is broadcast, and its fixed bytes per row.
+MAX_BROADCAST_BYTES = 64 << 20
+_ROW_BYTES = 64
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -30,6 +31,12 @@ def top_n(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
+def _measured_bytes(offsets: DataFrame, group: Sequence[str]) -> int:
+    texts = [F.octet_length(F.col(f"_of_{name}").cast("string")) for name in group]
+    row = sum((F.coalesce(text, F.lit(0)) for text in texts), F.lit(_ROW_BYTES))
+    return offsets.agg(F.sum(row)).first()[0] or 0
+
+
 def full_rank(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rank"
 ) -> DataFrame:
@@ -64,7 +71,7 @@ def full_rank(
             (F.col("_before") - F.col("_first") + 1).alias("_shift"),
         )
     )
-    if offsets.count() <= MAX_BROADCAST_ROWS:
+    if _measured_bytes(offsets, group) <= MAX_BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in ("_part", *group)]
     return placed.join(offsets, same).select(

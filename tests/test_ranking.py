@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from cadenza.operators import ranking
 from cadenza.operators.counting import nested_window_counts
 from cadenza.operators.ranking import full_rank, top_n
 from cadenza.operators.snapshot import carry_forward
@@ -49,6 +50,15 @@ def test_full_rank_spreads_one_group(spark):
     assert sorted(r.rank for r in ranked.select("rank").collect()) == list(range(1, 30_001))
 
 
+def test_full_rank_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MAX_BROADCAST_BYTES", 0)
+    df = scores(spark)
+    ranked = full_rank(df, ["g"], [F.desc("v"), F.asc("k")])
+    hints = ranked._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in hints.lower()
+    assert {row.k: row.rank for row in ranked.collect()} == brute_force(df.collect())
+
+
 def test_full_rank_of_nothing(spark):
     assert full_rank(scores(spark).limit(0), ["g"], [F.desc("v"), F.asc("k")]).count() == 0
 
