@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.projection import computed_once
+from cadenza.operators.ranking import top_n
+
 # Result column and its place in an answer.
 ADDRESS_FIELDS = {
     "ADDR": "formatted_address",
@@ -48,18 +51,21 @@ def parse_answers(answers: DataFrame, digits: int) -> DataFrame:
     """(lat_cell, lng_cell) and the address columns from (lat, lng, answer).
 
     A missing field is ''. Text without an address component is a failed answer and is
-    left out. Each cell must occur once.
+    left out. Of several answers in a cell the one with the least coordinates stays, so a
+    position never matches twice.
     """
-    parsed = answers.select(
-        cell(F.col("lat"), digits).alias("lat_cell"),
-        cell(F.col("lng"), digits).alias("lng_cell"),
-        F.from_json("answer", _ANSWER).alias("answer"),
-    ).where(F.col("answer.addressComponent").isNotNull())
-    return parsed.select(
+    answered = computed_once(
+        answers, F.struct(F.from_json("answer", _ANSWER).alias("found")), "lat", "lng", "answer"
+    ).where(F.col("found.addressComponent").isNotNull())
+    celled = answered.withColumns(
+        {"lat_cell": cell(F.col("lat"), digits), "lng_cell": cell(F.col("lng"), digits)}
+    )
+    single = top_n(celled, 1, ["lat_cell", "lng_cell"], list(map(F.asc, ("lat", "lng", "answer"))))
+    return single.select(
         "lat_cell",
         "lng_cell",
         *[
-            F.coalesce(F.col(f"answer.{place}"), F.lit("")).alias(name)
+            F.coalesce(F.col(f"found.{place}"), F.lit("")).alias(name)
             for name, place in ADDRESS_FIELDS.items()
         ],
     )

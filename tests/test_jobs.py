@@ -248,8 +248,9 @@ def test_positions_match_brute_force(spark):
 def test_geocoder_answers(spark):
     body = ('{"formatted_address":"F","addressComponent":{"province":"P","city":[],'
             '"building":{"name":"B"},"businessAreas":[{"id":1}]}}')
-    df = spark.createDataFrame([("20.14", "100.25", body), ("1", "2", "bad"), ("3", "4", "{}")],
-                               "lat string, lng string, answer string")
+    answers = [("20.14", "100.25", body), ("20.13", "100.25", "bad"), ("1", "2", "bad"),
+               ("3", "4", "{}"), ("20.14", "100.26", body.replace('"F"', '"G"'))]
+    df = spark.createDataFrame(answers, "lat string, lng string, answer string")
     found = gazetteer.parse_answers(df, 1).collect()
     assert len(found) == 1
     row = found[0].asDict()
