@@ -7,10 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from cadenza.checks.oracle import ORACLE_SQL as SQL
+from cadenza.checks.queries import QUERIES
 from oracle_compare import compare
 
 FOLDER = f"/root/testdata/sf{os.environ.get('ORACLE_SF', '0.001')}"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -23,6 +24,8 @@ def test_query_equals_sql(spark, name):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 def test_entry_runs(spark):
