@@ -49,7 +49,38 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 FROM whole
 """
 
+OP9 = r"""
+WITH doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+item AS (
+    SELECT item_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
+    WHERE item_id IS NOT NULL),
+item_window AS (
+    SELECT DISTINCT item_id, w[i:i + 12] AS phrase, least(len(w), 13) AS n
+    FROM item, LATERAL unnest(range(1, greatest(len(w) - 12, 1) + 1)) r(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM item_window),
+doc_window AS (
+    SELECT doc_id, i, n, w[i:i + n - 1] AS phrase
+    FROM doc, sizes, LATERAL unnest(range(1, len(w) - n + 2)) r(i)),
+hit AS (SELECT doc_id, i, d.n, item_id FROM doc_window d JOIN item_window t USING (phrase)),
+place AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
+places AS (SELECT doc_id, count(*) AS n_hit FROM place GROUP BY doc_id),
+ids AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit),
+names AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+    FROM ids GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_pfair_mixing": OP1,
     "op8_reply_chat": OP8,
+    "op9_inverted_decontamination": OP9,
 }

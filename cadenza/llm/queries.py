@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import mixing, replies, setsketch
+from cadenza.llm import inverted, mixing, replies, setsketch
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -54,8 +54,19 @@ def op8_reply_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_inverted_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents hold windows of the benchmark, and how much of them."""
+    found = inverted.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )
+
+
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op4_setsketch_dedup": op4_setsketch_dedup,
     "op8_reply_chat": op8_reply_chat,
+    "op9_inverted_decontamination": op9_inverted_decontamination,
 }
