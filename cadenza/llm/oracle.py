@@ -79,8 +79,47 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc LEFT JOIN places USING (doc_id) LEFT JOIN names USING (doc_id)
 """
 
+OP10 = r"""
+WITH line AS (
+    SELECT doc_id, n - 1 AS line, parts[n] AS part
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+        LATERAL unnest(range(1, len(parts) + 1)) r(n)),
+worded AS (
+    SELECT doc_id, line, part, list_filter(regexp_split_to_array(part, '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w FROM line),
+content AS (
+    SELECT w, min({'d': doc_id, 'l': line}) AS place FROM worded WHERE len(w) > 0 GROUP BY w),
+short AS (
+    SELECT w, place, i, w[1:i - 1] || w[i + 1:] AS v
+    FROM content, LATERAL unnest(range(1, len(w) + 1)) r(i) WHERE len(w) >= 8),
+near AS (
+    SELECT a.w, min(b.place) AS place
+    FROM short a JOIN short b ON a.v = b.v AND a.i = b.i GROUP BY a.w
+    UNION ALL
+    SELECT a.w, min(b.place) FROM short a JOIN content b ON a.v = b.w WHERE len(b.w) >= 8 GROUP BY a.w
+    UNION ALL
+    SELECT b.w, min(a.place) FROM short a JOIN content b ON a.v = b.w WHERE len(b.w) >= 8 GROUP BY b.w
+    UNION ALL
+    SELECT w, place FROM content),
+earliest AS (SELECT w, min(place) AS place FROM near GROUP BY w),
+judged AS (
+    SELECT l.*, len(l.w) > 0 AS has_words,
+        len(l.w) > 0 AND {'d': l.doc_id, 'l': l.line} > e.place AS gone
+    FROM worded l LEFT JOIN earliest e ON l.w = e.w),
+kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE has_words) AS n_lines,
+        count(*) FILTER (WHERE gone) AS n_removed,
+        coalesce(string_agg(part, chr(10) ORDER BY line) FILTER (WHERE NOT coalesce(gone, false)), '')
+            AS text
+    FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    length(k.text)::BIGINT AS kept_chars, sha256(k.text) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op1_pfair_mixing": OP1,
     "op8_reply_chat": OP8,
     "op9_inverted_decontamination": OP9,
+    "op10_deletion_line_dedup": OP10,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import inverted, mixing, replies, setsketch
+from cadenza.llm import cotraining, inverted, lines, mixing, replies, setsketch
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -18,6 +18,17 @@ def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"), MIX_WEIGHTS, MIX_REST)
 
 
+def op2_co_training_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of all documents by a model fitted on a sample of the labels."""
+    docs = table(spark, folder, "documents")
+    model = cotraining.fit(docs, table(spark, folder, "labels"))
+    return cotraining.score(docs, model).select(
+        "doc_id",
+        *cotraining.SCORES,
+        (F.col("quality_score") >= cotraining.KEEP_FROM).alias("kept"),
+    )
+
+
 def op4_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
     return setsketch.near_duplicates(table(spark, folder, "documents"), percent=85)
@@ -64,9 +75,23 @@ def op9_inverted_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_deletion_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that repeat earlier ones."""
+    found = lines.dedup_lines(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
+    "op2_co_training_quality": op2_co_training_quality,
     "op4_setsketch_dedup": op4_setsketch_dedup,
     "op8_reply_chat": op8_reply_chat,
     "op9_inverted_decontamination": op9_inverted_decontamination,
+    "op10_deletion_line_dedup": op10_deletion_line_dedup,
 }
