@@ -31,6 +31,23 @@ SELECT doc_id, text, lang, source, n_chars, mix_slot::BIGINT AS mix_slot,
 FROM placed
 """
 
+OP6 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+part AS (SELECT vec_id, unnest(e) AS w, generate_subscripts(e, 1) AS i FROM v),
+score AS (
+    SELECT q.vec_id AS query_id, r.vec_id, sum(q.w * r.w)::BIGINT AS score
+    FROM part q JOIN part r USING (i) WHERE q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id
+    GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+    vec_id, score
+FROM score
+QUALIFY rank <= 5
+"""
+
 OP8 = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -119,6 +136,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 
 ORACLE_SQL = {
     "op1_pfair_mixing": OP1,
+    "op6_term_at_a_time_topk": OP6,
     "op8_reply_chat": OP8,
     "op9_inverted_decontamination": OP9,
     "op10_deletion_line_dedup": OP10,
