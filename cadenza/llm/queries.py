@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import cotraining, inverted, lines, mixing, replies, setsketch, topk
+from cadenza.llm import cotraining, disclosure, inverted, lines, mixing, replies, setsketch, topk
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -29,6 +29,12 @@ def op2_co_training_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_disclosure_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of all documents, and terms that give it away."""
+    found = disclosure.sanitise(table(spark, folder, "documents"))
+    return found.select("doc_id", *[c for c in disclosure.RESULTS if c != "sanitised"])
+
+
 def op4_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
     return setsketch.near_duplicates(table(spark, folder, "documents"), percent=85)
@@ -95,6 +101,7 @@ def op10_deletion_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_co_training_quality": op2_co_training_quality,
+    "op3_disclosure_pii": op3_disclosure_pii,
     "op4_setsketch_dedup": op4_setsketch_dedup,
     "op6_term_at_a_time_topk": op6_term_at_a_time_topk,
     "op8_reply_chat": op8_reply_chat,
