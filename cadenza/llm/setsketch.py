@@ -106,7 +106,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("doc_id"),
                 pa.array([len(items) for items in sets], pa.int64()),
                 pa.array([_digest(items) for items in sets], pa.int64()),
-                pa.array([items.tobytes() for items in sets], pa.binary()),
+                pa.array([items.view(np.int64) for items in sets], pa.list_(pa.int64())),
             ],
             ["doc_id", "n", "set_hash", "items"],
         )
@@ -158,22 +158,6 @@ def _likely(percent: int):
     return keep
 
 
-def _confirmed(percent: int):
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = []
-            for x, y in zip(batch.column("items_a"), batch.column("items_b"), strict=True):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                found.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
-
-    return keep
-
-
 def _with(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     """The columns of ``facts`` for both documents of each pair."""
     for side in "ab":
@@ -189,12 +173,14 @@ def _links(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, percent: int)
     likely = stored(likely.mapInArrow(_likely(percent), "a long, b long"), "likely")
     ids = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "doc_id")
     texts = docs.join(ids, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_sets, "doc_id long, n long, set_hash long, items binary")
+    sets = texts.mapInArrow(_sets, "doc_id long, n long, set_hash long, items array<long>")
     chosen = sketches.select("doc_id", "n", "set_hash")
     sets = sets.join(chosen, ["doc_id", "n", "set_hash"]).dropDuplicates(["doc_id"])
     sets = stored(sets.select("doc_id", "items"), "sets")
-    full = _with(likely, sets).select("a", "b", "items_a", "items_b")
-    return stored(full.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+    full = _with(likely, sets)
+    both = F.size(F.array_intersect("items_a", "items_b"))
+    either = F.size("items_a") + F.size("items_b") - both
+    return stored(full.where(both * 100 >= either * percent).select("a", "b"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -21,8 +21,9 @@ LOWER[0x41:0x5B] += 0x20
 
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
-_PIECE = 1 << 20  # bytes hashed at a time
-SLICE_BYTES = 6 << 20  # text handed to an operator at a time, but for longer single texts
+LENGTH_SALT = 0x632BE59BD9B4E019
+_PIECE = 1 << 17  # bytes hashed at a time
+SLICE_BYTES = 3 << 19  # text handed to an operator at a time, but for longer single texts
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +62,7 @@ class Polynomial:
 
     def span(self, low, high) -> np.ndarray:
         length = np.asarray(high - low).astype(np.uint64)
-        return mix(self.raw(low, high) + length * np.uint64(0x632BE59BD9B4E019))
+        return mix(self.raw(low, high) + length * np.uint64(LENGTH_SALT))
 
 
 def _pieces(data: np.ndarray) -> Iterator[tuple[int, int]]:
