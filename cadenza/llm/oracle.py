@@ -48,17 +48,17 @@ FROM score
 QUALIFY rank <= 5
 """
 
-OP7 = r"""
+_REPEATS = r"""
 WITH doc AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
         lambda x: x <> '') AS w FROM documents),
 windows AS (
-    SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h
-    FROM doc, LATERAL unnest(range(1, len(w) - 18)) r(i)),
+    SELECT doc_id, i, md5(array_to_string(w[i:i + {n} - 1], ' ')) AS h
+    FROM doc, LATERAL unnest(range(1, len(w) - {n} + 2)) r(i)),
 judged AS (
     SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS again
     FROM windows),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM judged WHERE again),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {n})) AS p FROM judged WHERE again),
 gone_list AS (SELECT doc_id, list(p) AS gone FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
     sha256(array_to_string(
@@ -67,6 +67,9 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_re
 FROM doc LEFT JOIN gone_list USING (doc_id)
 """
 
+OP5 = _REPEATS.replace("{n}", "50")
+OP7 = _REPEATS.replace("{n}", "20")
+
 OP8 = r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -155,6 +158,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 
 ORACLE_SQL = {
     "op1_pfair_mixing": OP1,
+    "op5_suffix_passage_dedup": OP5,
     "op6_term_at_a_time_topk": OP6,
     "op7_block_substring_dedup": OP7,
     "op8_reply_chat": OP8,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import blocks, cotraining, disclosure, inverted, lines, mixing, replies, setsketch, topk
+from cadenza.llm import blocks, cotraining, disclosure, inverted, lines, mixing, replies, setsketch, suffixes, topk
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -40,6 +40,12 @@ def op4_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+def op5_suffix_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the passages of 50 words or more that repeat earlier ones."""
+    found = suffixes.dedup_passages(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_term_at_a_time_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five best rows for every fiftieth vector."""
     return topk.top_k(table(spark, folder, "embeddings"), every=50, k=5)
@@ -109,6 +115,7 @@ QUERIES = {
     "op2_co_training_quality": op2_co_training_quality,
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_setsketch_dedup": op4_setsketch_dedup,
+    "op5_suffix_passage_dedup": op5_suffix_passage_dedup,
     "op6_term_at_a_time_topk": op6_term_at_a_time_topk,
     "op7_block_substring_dedup": op7_block_substring_dedup,
     "op8_reply_chat": op8_reply_chat,
