@@ -67,9 +67,9 @@ def packed_rows(
     """One row per bucket; ``facts`` has one line of values per entry."""
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+    cuts = np.flatnonzero(first_of_runs(bucket))
     rows = [[], [], [], [], []]
-    for low, high in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+    for low, high in zip(cuts, np.append(cuts[1:], len(bucket)), strict=len(cuts) > 0):
         part = order[low:high]
         values = (int(bucket[low]), done, planes(ids[part]), planes(places[part]))
         for column, value in zip(rows, (*values, planes(facts[part])), strict=True):
