@@ -217,11 +217,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = known.unionByName(pool.withColumn("quality", F.lit(-1)))
     sample = stored(sample.withColumn("order", order), "sample")
     rows = docs.select(*_FACTS).join(F.broadcast(sample), "doc_id")
-    rows = rows.limit(MAX_LABELLED + MAX_POOL)  # more only where ids are repeated
     found = rows.mapInArrow(
         _features, "order long, quality int, text array<double>, meta array<double>"
     )
-    table = found.toArrow().sort_by("order")
+    # There are more rows than that only where ids are repeated.
+    table = found.limit(MAX_LABELLED + MAX_POOL).toArrow().sort_by("order")
     if not table.num_rows:
         return Model(None, np.zeros(3))
     views = [np.array(table.column(c).to_pylist(), float) for c in ("text", "meta")]
