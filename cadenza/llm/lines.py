@@ -71,7 +71,7 @@ def deletion_keys(poly: Polynomial, low: int, high: int) -> tuple[np.ndarray, np
     SUBSTITUTED key; a line that lacks one word of another has as WHOLE the other's SHORTENED
     key. No other two lines share such keys, so equal keys are within one edit.
     """
-    n = high - low
+    n = int(high - low)
     at = np.arange(n)
     rest = poly.raw(low, low + at) + poly.up[at] * poly.raw(low + at + 1, np.full(n, high))
     rest = mix(rest + np.uint64((n - 1) * LENGTH_SALT & (1 << 64) - 1))
