@@ -53,11 +53,13 @@ _ALBUM = """
               WHEN 4 THEN NULL ELSE '暂无专辑' END
 """
 
+# Columns of the song table that come through unchanged.
 _TAIL = (
-    "PINYIN_FST PINYIN SING_TYPE ORI_SINGER LYRICIST COMPOSER BPM_VAL STAR_LEVEL VIDEO_QLTY "
-    "VIDEO_MK VIDEO_FTUR LYRIC_FTUR IMG_QLTY SUBTITLES_TYPE AUDIO_FMT ORI_SOUND_QLTY ORI_TRK "
-    "ORI_TRK_VOL ACC_VER ACC_QLTY ACC_TRK_VOL ACC_TRK WIDTH HEIGHT VIDEO_RSVL SONG_VER"
-).split()
+    "PINYIN_FST", "PINYIN", "SING_TYPE", "ORI_SINGER", "LYRICIST", "COMPOSER", "BPM_VAL",
+    "STAR_LEVEL", "VIDEO_QLTY", "VIDEO_MK", "VIDEO_FTUR", "LYRIC_FTUR", "IMG_QLTY",
+    "SUBTITLES_TYPE", "AUDIO_FMT", "ORI_SOUND_QLTY", "ORI_TRK", "ORI_TRK_VOL", "ACC_VER",
+    "ACC_QLTY", "ACC_TRK_VOL", "ACC_TRK", "WIDTH", "HEIGHT", "VIDEO_RSVL", "SONG_VER",
+)
 
 _DIM = _PART + f""",
 dim AS (
@@ -281,9 +283,11 @@ best AS (
   WHERE rn = 1 AND x <> '' AND y <> '')
 """
 
+# Address columns that the sample answers leave empty.
 _BLANKS = (
-    "AD_CD TOWN_SHIP TOWN_CD NB_TP BD_NM BD_TP STREET_LOC STREET_DRCTION STREET_DSTANCE BUS_INFO"
-).split()
+    "AD_CD", "TOWN_SHIP", "TOWN_CD", "NB_TP", "BD_NM", "BD_TP", "STREET_LOC", "STREET_DRCTION",
+    "STREET_DSTANCE", "BUS_INFO",
+)
 _NO_FIELDS = ", ".join(f"'' AS {name}" for name in _BLANKS)
 
 _LOCATIONS = _POSITIONS + f""",
@@ -305,32 +309,33 @@ snapshot AS (
 """
 
 _STAT = ", ".join([_LINES, _LEDGER, _USERS, _MACHINES, _LOCATIONS]) + f""",
-rev AS (
-  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS users, sum(COIN_CNT * COIN_PRC) AS money,
-         count(ORDR_ID) AS orders
-  FROM ledger WHERE ABN_TYP = 0 GROUP BY ALL),
-ref AS (
-  SELECT MID, PKG_ID, PAY_TYPE, count(DISTINCT UID) AS users, sum(COIN_CNT * COIN_PRC) AS money,
-         count(ORDR_ID) AS orders
-  FROM ledger WHERE ABN_TYP = 2 GROUP BY ALL),
-fresh_users AS (
-  SELECT REG_MID AS MID, count(UID) AS n FROM act WHERE dt = '{DAY}' GROUP BY REG_MID),
+turnover AS (
+  SELECT MID AS machine, PKG_ID, PAY_TYPE, PKG_ID IS NOT NULL AND PAY_TYPE IS NOT NULL AS keyed,
+         count(DISTINCT UID) FILTER (ABN_TYP = 0) AS buyers,
+         count(ORDR_ID) FILTER (ABN_TYP = 0) AS sales,
+         sum(COIN_CNT * COIN_PRC) FILTER (ABN_TYP = 0) AS earned,
+         count(DISTINCT UID) FILTER (ABN_TYP = 2) AS returners,
+         count(ORDR_ID) FILTER (ABN_TYP = 2) AS returns,
+         sum(COIN_CNT * COIN_PRC) FILTER (ABN_TYP = 2) AS paid_back
+  FROM ledger GROUP BY ALL HAVING count(*) FILTER (ABN_TYP = 0) > 0),
+joiners AS (
+  SELECT REG_MID AS machine, count(UID) AS joined FROM act WHERE dt = '{DAY}' GROUP BY REG_MID),
+site AS (SELECT MID AS place_id, PRVC AS site_prvc, CTY AS site_cty, DISTRICT AS site_area FROM snapshot),
 stat AS (
-  SELECT A.MID, MAC_NM, PRDCT_TYP, STORE_NM, BUS_MODE, PAY_SW, SCENCE_CATGY, SUB_SCENCE_CATGY,
-         SCENE, SUB_SCENE, BRND, SUB_BRND, coalesce(B.PRVC, A.PRVC) AS PRVC,
-         coalesce(B.CTY, A.CTY) AS CTY, coalesce(B.DISTRICT, A.AREA) AS AREA, PRTN_NM AS AGE_ID,
-         INV_RATE, AGE_RATE, COM_RATE, PAR_RATE, C.PKG_ID, C.PAY_TYPE,
-         coalesce(C.users, 0) AS CNSM_USR_CNT, coalesce(D.users, 0) AS REF_USR_CNT,
-         coalesce(E.n, 0) AS NEW_USR_CNT, coalesce(C.orders, 0) AS REV_ORDR_CNT,
-         coalesce(D.orders, 0) AS REF_ORDR_CNT,
-         CAST(coalesce(C.money, 0) AS DECIMAL(38,4)) AS TOT_REV,
-         CAST(coalesce(D.money, 0) AS DECIMAL(38,4)) AS TOT_REF
-  FROM dimension A
-  LEFT JOIN snapshot B ON CAST(A.MID AS INTEGER) = B.MID
-  LEFT JOIN rev C ON A.MID = C.MID
-  LEFT JOIN ref D ON A.MID = D.MID AND C.MID = D.MID AND C.PKG_ID = D.PKG_ID
-                 AND C.PAY_TYPE = D.PAY_TYPE
-  LEFT JOIN fresh_users E ON A.MID = E.MID)
+  SELECT MID, MAC_NM, PRDCT_TYP, STORE_NM, BUS_MODE, PAY_SW, SCENCE_CATGY, SUB_SCENCE_CATGY,
+         SCENE, SUB_SCENE, BRND, SUB_BRND, coalesce(site_prvc, PRVC) AS PRVC,
+         coalesce(site_cty, CTY) AS CTY, coalesce(site_area, AREA) AS AREA, PRTN_NM AS AGE_ID,
+         INV_RATE, AGE_RATE, COM_RATE, PAR_RATE, turnover.PKG_ID, turnover.PAY_TYPE,
+         coalesce(buyers, 0) AS CNSM_USR_CNT, coalesce(joined, 0) AS NEW_USR_CNT,
+         coalesce(sales, 0) AS REV_ORDR_CNT,
+         CAST(coalesce(earned, 0) AS DECIMAL(38,4)) AS TOT_REV,
+         CASE WHEN keyed THEN returners ELSE 0 END AS REF_USR_CNT,
+         CASE WHEN keyed THEN returns ELSE 0 END AS REF_ORDR_CNT,
+         CAST(CASE WHEN keyed THEN coalesce(paid_back, 0) ELSE 0 END AS DECIMAL(38,4)) AS TOT_REF
+  FROM dimension
+  LEFT JOIN turnover ON turnover.machine = MID
+  LEFT JOIN joiners ON joiners.machine = MID
+  LEFT JOIN site ON place_id = CAST(MID AS INTEGER))
 """
 
 
@@ -383,6 +388,9 @@ coalesce(songid, 'null') || chr(9) || mid || chr(9) || opt || chr(9) || coalesce
 
 _PLAY_JSON = """
 '{"songid":"' || songid || '","mid":"' || mid || '","optrate_type":"' || opt || '"'
+|| coalesce(',"uid":"' || uid || '"', '') || ',"consume_type":"' || cons || '","dur_time":"' || dur
+|| '","session_id":"' || sid || '","songname":"song ' || songid || '","pkg_id":"' || pkg
+|| '","order_id":"' || order_id || '"}'
 """
 
 ORACLE_SQL: dict[str, str] = {
@@ -393,10 +401,11 @@ ORACLE_SQL: dict[str, str] = {
                pkg AS PKG_ID, order_id AS ORDER_ID
         FROM plays WHERE {_GOOD_PLAYS}""",
     "log_quarantine": f"""
-        WITH {_PLAYS}
+        WITH {_PLAYS}, bodies AS (SELECT sid, {_PLAY_JSON} AS body FROM plays)
         SELECT 'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ' AS table_name,
-               substr({_PLAY_JSON}, 1, 20) AS body
-        FROM plays WHERE sid % 10 = 3""",
+               CASE sid // 10 % 4 WHEN 0 THEN substr(body, 1, 20) WHEN 1 THEN body || ' junk'
+                    WHEN 2 THEN body || body ELSE chr(9) END AS body
+        FROM bodies WHERE sid % 10 = 3""",
     "log_demux_text": f"""
         WITH {_PLAYS}, routed AS (
           SELECT 'OTHER_' || opt AS table_name, '{{"x":' || dur || '}}' AS value

@@ -14,7 +14,7 @@ from cadenza.plans import client_log, machines, revenue, songs, users
 from cadenza.plans import ledger as ledger_plan
 from cadenza.session import STREAM_SETTINGS, scratch_path
 from cadenza.sinks.text import write_by_table
-from cadenza.sources import gazetteer, messages, samples
+from cadenza.sources import messages, samples
 from cadenza.sources.samples import RUN_DAY as DAY
 from cadenza.sources.tables import DAY as DAY_COLUMN
 from cadenza.sources.tables import Warehouse, on_day
@@ -155,11 +155,9 @@ def machine_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def machine_location(spark: SparkSession, folder: str) -> DataFrame:
-    answers = samples.geocoder_answers(spark, folder)
-    cells = gazetteer.parse_answers(answers, machines.CELL_DIGITS)
     return machines.machine_locations(
         samples.user_positions(spark, folder),
-        cells,
+        samples.geocoder_answers(spark, folder),
         samples.installed_locations(spark, folder),
         DAY,
     )

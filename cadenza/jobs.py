@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.dates import shift_day
 from cadenza.plans import client_log, ledger, machines, revenue, songs, users
-from cadenza.session import build_session, scratch_path
-from cadenza.sinks.jdbc import dated, replace_table
+from cadenza.session import build_session, scratch
+from cadenza.sinks.jdbc import CONNECTIONS, dated, replace_table
 from cadenza.sinks.text import write_by_table
 from cadenza.sources.client_log import read_lines
-from cadenza.sources.gazetteer import parse_answers
 from cadenza.sources.tables import Warehouse
 
 # Table names of the warehouse.
@@ -95,8 +94,7 @@ def _locations(store: Warehouse, day: str) -> DataFrame:
     if store.exists(LOCATIONS):
         yesterday = store.read_days(LOCATIONS, shift_day(day, -1))
     positions = store.read_days(POSITIONS, shift_day(day, -machines.LOCATION_DAYS), day)
-    cells = parse_answers(store.read(ANSWERS), machines.CELL_DIGITS)
-    return machines.machine_locations(positions, cells, yesterday, day)
+    return machines.machine_locations(positions, store.read(ANSWERS), yesterday, day)
 
 
 def _channels(store: Warehouse) -> dict[str, DataFrame]:
@@ -178,26 +176,36 @@ def run_job(name: str, store: Warehouse, day: str, copy: Copy | None = None) ->
         copy(job.copied(rows), job.copy)
 
 
-def run_client_log(store: Warehouse, lines: DataFrame, day: str, routed: str) -> None:
+def run_client_log(
+    store: Warehouse, lines: DataFrame, day: str, routed: str, gather: bool = True
+) -> None:
     """Route the raw log: text per record type below ``routed/<day>``, plays into their
     day, unreadable plays into ``routed/<day>-unreadable``.
 
-    The log is read and parsed once, into scratch that the three outputs share.
+    The log is read and parsed once, into scratch that the three outputs share and that
+    goes when they are written. ``gather`` as for ``write_by_table``.
     """
-    staged = scratch_path(store.spark, "records")
-    client_log.parse_records(lines).write.partitionBy("kind").parquet(staged)
-    schema = client_log.parse_records(lines).schema
-    records = store.spark.read.schema(schema).parquet(staged)
-    write_by_table(client_log.routed_text(records), f"{routed}/{day}")
-    unreadable = client_log.unreadable_records(records)
-    unreadable.write.mode("overwrite").json(f"{routed}/{day}-unreadable")
-    store.replace_day(client_log.play_records(records), PLAYS, day)
+    parsed = client_log.parse_records(lines)
+    with scratch(store.spark, "records") as staged:
+        parsed.write.partitionBy("kind").parquet(staged)
+        records = store.spark.read.schema(parsed.schema).parquet(staged)
+        write_by_table(client_log.routed_text(records), f"{routed}/{day}", gather)
+        unreadable = client_log.unreadable_records(records)
+        unreadable.write.mode("overwrite").json(f"{routed}/{day}-unreadable")
+        store.replace_day(client_log.play_records(records), PLAYS, day)
 
 
 def run_week_activity(store: Warehouse, day: str, copy: Copy, active_days: int = 1) -> None:
-    """Copy the week's activity to the result database; it has no warehouse table."""
+    """Copy the week's activity to the result database; it has no warehouse table.
+
+    The result is written to scratch first: the few connections read rows that are ready
+    and do not narrow the join.
+    """
     week = store.read_days(USERS, shift_day(day, -7), day)
-    copy(users.week_activity(week, day, active_days), "user_7days_active")
+    result = users.week_activity(week, day, active_days)
+    with scratch(store.spark, "week") as staged:
+        result.write.parquet(staged)
+        copy(store.spark.read.schema(result.schema).parquet(staged), "user_7days_active")
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -214,7 +222,17 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "--partitions", default=str(SHUFFLE_PARTITIONS),
         help="shuffle partitions before adaptive coalescing; raise with the input",
     )
+    parser.add_argument(
+        "--active-days", type=int, default=1, help="days a user must be seen (week_activity)"
+    )
+    parser.add_argument(
+        "--scatter", action="store_true",
+        help="write routed text without gathering each type's rows first (client_log)",
+    )
     parser.add_argument("--jdbc-url", help="result database")
+    parser.add_argument(
+        "--connections", type=int, default=CONNECTIONS, help="parallel database writers"
+    )
     parser.add_argument(
         "--jdbc-property", action="append", default=[], metavar="KEY=VALUE",
         help="connection property, such as user or driver",
@@ -233,14 +251,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         properties = dict(item.split("=", 1) for item in args.jdbc_property)
 
         def copy(df: DataFrame, table: str) -> None:
-            replace_table(df, args.jdbc_url, table, properties)
+            replace_table(df, args.jdbc_url, table, properties, args.connections)
 
     if args.job == "client_log":
-        run_client_log(store, read_lines(spark, args.log), args.date, args.routed)
+        lines = read_lines(spark, args.log)
+        run_client_log(store, lines, args.date, args.routed, not args.scatter)
     elif args.job == "week_activity":
         if copy is None:
             raise SystemExit("week_activity needs --jdbc-url")
-        run_week_activity(store, args.date, copy)
+        run_week_activity(store, args.date, copy, args.active_days)
     else:
         run_job(args.job, store, args.date, copy)
 

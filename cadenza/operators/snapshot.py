@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+_OLD = "_from_yesterday"
 
 
 def carry_forward(today: DataFrame, yesterday: DataFrame, key: str) -> DataFrame:
-    """``today`` plus yesterday's rows whose key is absent today."""
-    missing = yesterday.join(today.select(key), key, "left_anti")
-    return missing.select(*today.columns).unionByName(today)
+    """``today`` plus yesterday's rows whose key is absent today.
+
+    Both are read once and meet by the key; a NULL key counts as absent.
+    """
+    every = yesterday.select(*today.columns, F.lit(True).alias(_OLD)).unionByName(
+        today.withColumn(_OLD, F.lit(False))
+    )
+    replaced = ~F.min(_OLD).over(Window.partitionBy(key)) & F.col(key).isNotNull()
+    kept = every.withColumn("_replaced", replaced).where(~F.col("_replaced") | ~F.col(_OLD))
+    return kept.select(*today.columns)

@@ -24,23 +24,24 @@ PLAY_FIELDS = (
 )
 PLAY, UNREADABLE, OTHER = "play", "unreadable", "other"
 
-_BROKEN = "_broken"
-_SCHEMA = ", ".join(f"{name} string" for name in (*PLAY_FIELDS, _BROKEN))
+_SCHEMA = "array<struct<{}>>".format(", ".join(f"{name}: string" for name in PLAY_FIELDS))
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
     """Records with their ``kind`` and, for play records, the fields in ``play``.
 
-    Each body is parsed once. A play record whose body is blank or not a JSON object is
-    unreadable.
+    Each body is parsed once, as the only element of an array: text before or after the
+    object, or a second object, does not give one element. A play record whose body is not
+    exactly one JSON object is unreadable.
     """
     records = split_lines(lines)
     is_play = F.col("table_name") == PLAY_TABLE
-    body = F.when(is_play, F.col("body"))
-    play = F.from_json(body, _SCHEMA, {"columnNameOfCorruptRecord": _BROKEN})
-    parsed = computed_once(records, F.struct(play.alias("play")), "table_name", "body")
-    unreadable = F.col(f"play.{_BROKEN}").isNotNull() | (F.trim("body") == "")
-    kind = F.when(~is_play, OTHER).when(unreadable, UNREADABLE).otherwise(PLAY)
+    body = F.when(is_play, F.concat(F.lit("["), F.col("body"), F.lit("]")))
+    plays = F.from_json(body, _SCHEMA)
+    parsed = computed_once(records, F.struct(plays.alias("plays")), "table_name", "body")
+    play = F.when(F.size("plays") == 1, F.get("plays", F.lit(0)))
+    parsed = parsed.withColumn("play", play).drop("plays")
+    kind = F.when(~is_play, OTHER).when(F.col("play").isNull(), UNREADABLE).otherwise(PLAY)
     return parsed.withColumn("kind", kind)
 
 

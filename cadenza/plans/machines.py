@@ -9,7 +9,7 @@ from cadenza.functions.address import MISSING, repair_city, repair_province
 from cadenza.functions.dates import pad_time, shift_day
 from cadenza.operators.ranking import top_n
 from cadenza.operators.snapshot import carry_forward
-from cadenza.sources.gazetteer import ADDRESS_FIELDS, cell
+from cadenza.sources.gazetteer import ADDRESS_FIELDS, cell, parse_answers
 from cadenza.sources.tables import between_days
 
 # Fixed values.
@@ -158,7 +158,7 @@ def busiest_positions(
 
 def machine_locations(
     positions: DataFrame,
-    gazetteer: DataFrame,
+    answers: DataFrame,
     yesterday: DataFrame | None,
     day: str,
     days: int = LOCATION_DAYS,
@@ -166,14 +166,17 @@ def machine_locations(
 ) -> DataFrame:
     """Addressed position of every machine, yesterday's row where today gives none.
 
-    ``gazetteer`` has one row per cell of ``digits`` decimals; a position without a cell
-    counts as unanswered.
+    Positions match stored ``answers`` (lat, lng, answer) by cells of ``digits`` decimals;
+    only the answers of today's cells are parsed. A position without one counts as
+    unanswered.
     """
-    today = (
-        busiest_positions(positions, day, days)
-        .withColumn("lat_cell", cell(F.col("X"), digits))
-        .withColumn("lng_cell", cell(F.col("Y"), digits))
-        .join(gazetteer, ["lat_cell", "lng_cell"])
-        .select(*LOCATION_COLUMNS)
+    keys = ["lat_cell", "lng_cell"]
+    placed = busiest_positions(positions, day, days).withColumns(
+        {"lat_cell": cell(F.col("X"), digits), "lng_cell": cell(F.col("Y"), digits)}
     )
+    celled = answers.withColumns(
+        {"lat_cell": cell(F.col("lat"), digits), "lng_cell": cell(F.col("lng"), digits)}
+    )
+    asked = celled.join(placed.select(*keys), keys, "left_semi").select("lat", "lng", "answer")
+    today = placed.join(parse_answers(asked, digits), keys).select(*LOCATION_COLUMNS)
     return today if yesterday is None else carry_forward(today, yesterday, "MID")

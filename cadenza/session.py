@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/cadenza-{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever it is stored."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str):
+    """A fresh path below the shared folder, deleted at the end, also after a failure."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove_path(spark, path)
+
+
 def checkpointed(df):
     """``df`` materialised once in the shared folder, so every later read sees the
     same rows in the same partitions even when executors are lost."""

@@ -10,23 +10,29 @@ from pyspark.sql import functions as F
 from cadenza.operators.projection import computed_once
 
 TOPIC = "userlog"
+RATE = 5_000_000  # messages of a micro-batch
 _BODY = "mid string, uid string, songid string, songname string"
 _LOG = "value string, timestamp timestamp"
 
 
 def kafka_options(
-    servers: str, topic: str = TOPIC, offsets: dict[int, int] | None = None
+    servers: str,
+    topic: str = TOPIC,
+    offsets: dict[int, int] | None = None,
+    rate: int | None = RATE,
 ) -> dict[str, str]:
-    """Where a first start begins: the first message kept of all partitions, or the given
-    offset of just the given partitions. A restart takes its checkpoint's positions."""
-    options = {"kafka.bootstrap.servers": servers}
-    if offsets is None:
-        return options | {"subscribe": topic, "startingOffsets": "earliest"}
-    positions = {str(part): at for part, at in sorted(offsets.items())}
-    return options | {
-        "assign": json.dumps({topic: sorted(offsets)}),
-        "startingOffsets": json.dumps({topic: positions}),
+    """Where a first start begins: the first message kept of every partition, or the given
+    offsets (-2 is the first kept). All partitions are subscribed to, so the source refuses
+    a list that leaves one out, and reads partitions added later. At most ``rate`` messages
+    come in one micro-batch; the rest follow in the next ones. A restart takes its
+    checkpoint's positions."""
+    start = "earliest"
+    if offsets is not None:
+        start = json.dumps({topic: {str(part): at for part, at in sorted(offsets.items())}})
+    options = {
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start
     }
+    return options if rate is None else options | {"maxOffsetsPerTrigger": str(rate)}
 
 
 def from_kafka(spark: SparkSession, servers: str, **where) -> DataFrame:

@@ -103,6 +103,17 @@ def plays(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _broken_body(body: Column, number: Column) -> Column:
+    """A body cut short, with text behind it, given twice, or blank."""
+    return _pick(
+        F.floor(number / 10) % 4,
+        F.substring(body, 1, 20),
+        F.concat(body, F.lit(" junk")),
+        F.concat(body, body),
+        "\t",
+    )
+
+
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Raw log text of all plays, with other tables and broken lines among them."""
     rows = plays(spark, folder)
@@ -111,7 +122,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     name = F.when(kind == 0, F.concat(F.lit("OTHER_"), F.col("OPTRATE_TYPE"))).otherwise(PLAY_TABLE)
     content = (
         F.when(kind == 0, F.concat(F.lit('{"x":'), F.col("DUR_TIME"), F.lit("}")))
-        .when(kind == 3, F.substring(body, 1, 20))
+        .when(kind == 3, _broken_body(body, F.col("SESSION_ID").cast("bigint")))
         .otherwise(body)
     )
     tail = F.when(kind == 2, F.lit("e&")).otherwise(F.lit("e&f"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cadenza.functions.dates import DAY_FORMAT, shift_day
+from cadenza.session import remove_path
 
 DAY = "data_dt"
 _ROWS = "rows"
@@ -114,12 +116,32 @@ class Warehouse:
 
     def replace_day(self, df: DataFrame, table: str, day: str) -> None:
         """Overwrite one day and leave the others. A rerun gives the same table, and an
-        empty result empties the day."""
+        empty result empties the day. A folder's day is written beside it and takes its
+        place when complete, so a failed write leaves the old rows."""
         if self.root:
-            df.drop(DAY).write.mode("overwrite").parquet(f"{self._path(table)}/{DAY}={day}")
+            self._swap_day(df.drop(DAY), f"{self._path(table)}/{DAY}={day}")
         else:
             self._replace_catalog_day(df, table, day)
 
+    def _swap_day(self, df: DataFrame, target: str) -> None:
+        folder, name = target.rsplit("/", 1)
+        # Spark does not read folders that begin with an underscore.
+        staged = f"{folder}/_staged-{uuid.uuid4().hex}"
+        new, old = f"{staged}/new/{name}", f"{staged}/old"
+        try:
+            df.write.parquet(new)
+            paths = self.spark._jvm.org.apache.hadoop.fs.Path
+            conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+            store = paths(target).getFileSystem(conf)
+            if store.exists(paths(target)) and not store.rename(paths(target), paths(old)):
+                raise OSError(f"{target} can't be moved aside")
+            if not store.rename(paths(new), paths(target)):
+                if store.exists(paths(old)):
+                    store.rename(paths(old), paths(target))
+                raise OSError(f"{new} can't be moved to {target}")
+        finally:
+            remove_path(self.spark, staged)
+
     def _replace_catalog_day(self, df: DataFrame, table: str, day: str) -> None:
         name = self._name(table)
         written = Observation()

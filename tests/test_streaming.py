@@ -130,9 +130,11 @@ def test_result_tables_hold_the_last_window(spark, tmp_path):
 def test_start_positions():
     first = messages.kafka_options("h:1")
     assert first == {
-        "kafka.bootstrap.servers": "h:1", "subscribe": "userlog", "startingOffsets": "earliest"
+        "kafka.bootstrap.servers": "h:1", "subscribe": "userlog", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(messages.RATE),
     }
-    given = messages.kafka_options("h:1", "t", {2: 0, 1: 7})
-    assert json.loads(given["assign"]) == {"t": [1, 2]}
+    given = messages.kafka_options("h:1", "t", {2: 0, 1: 7}, rate=None)
     assert json.loads(given["startingOffsets"]) == {"t": {"1": 7, "2": 0}}
-    assert "subscribe" not in given
+    # A subscription with positions for some partitions only is refused by the source.
+    assert given["subscribe"] == "t" and "assign" not in given
+    assert "maxOffsetsPerTrigger" not in given
