@@ -380,6 +380,10 @@ SELECT * FROM (
 _MINUTE, _WIDE, _HALF_HOUR = 60, 6 * 3600, 1800
 
 _GOOD_PLAYS = "sid % 10 NOT IN (0, 1, 2, 3)"
+_PLAY_ROW = """
+songid AS SONGID, mid AS MID, opt AS OPTRATE_TYPE, uid AS UID, cons AS CONSUME_TYPE, dur AS DUR_TIME,
+CAST(sid AS VARCHAR) AS SESSION_ID, 'song ' || songid AS SONGNAME, pkg AS PKG_ID, order_id AS ORDER_ID
+"""
 _PLAY_BODY = """
 coalesce(songid, 'null') || chr(9) || mid || chr(9) || opt || chr(9) || coalesce(uid, 'null') || chr(9)
 || cons || chr(9) || dur || chr(9) || sid || chr(9) || 'song ' || songid || chr(9) || pkg || chr(9)
@@ -395,11 +399,7 @@ _PLAY_JSON = """
 
 ORACLE_SQL: dict[str, str] = {
     "log_demux": f"""
-        WITH {_PLAYS}
-        SELECT songid AS SONGID, mid AS MID, opt AS OPTRATE_TYPE, uid AS UID, cons AS CONSUME_TYPE,
-               dur AS DUR_TIME, CAST(sid AS VARCHAR) AS SESSION_ID, 'song ' || songid AS SONGNAME,
-               pkg AS PKG_ID, order_id AS ORDER_ID
-        FROM plays WHERE {_GOOD_PLAYS}""",
+        WITH {_PLAYS} SELECT {_PLAY_ROW} FROM plays WHERE {_GOOD_PLAYS}""",
     "log_quarantine": f"""
         WITH {_PLAYS}, bodies AS (SELECT sid, {_PLAY_JSON} AS body FROM plays)
         SELECT 'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ' AS table_name,
@@ -412,12 +412,11 @@ ORACLE_SQL: dict[str, str] = {
           FROM plays WHERE sid % 10 = 0
           UNION ALL
           SELECT 'MINIK_CLIENT_SONG_PLAY_OPERATE_REQ', {_PLAY_BODY} FROM plays WHERE {_GOOD_PLAYS})
-        SELECT table_name, count(*) AS n_lines, CAST(sum(length(value)) AS BIGINT) AS n_chars
-        FROM routed GROUP BY table_name""",
-    "partition_store": f"""
-        WITH {_PLAYS}
-        SELECT dt AS data_dt, count(*) AS n_plays, CAST(sum(CAST(dur AS BIGINT)) AS BIGINT) AS total_time
-        FROM plays GROUP BY dt""",
+        SELECT table_name, value FROM routed""",
+    "log_scan": f"WITH {_PLAYS} SELECT {_PLAY_ROW} FROM plays WHERE {_GOOD_PLAYS}",
+    "partition_store": f"WITH {_PLAYS} SELECT dt AS data_dt, {_PLAY_ROW} FROM plays",
+    "catalog_store": f"WITH {_PLAYS} SELECT dt AS data_dt, {_PLAY_ROW} FROM plays",
+    "table_overwrite": f"WITH {_DIM} SELECT * FROM dim",
     "song_dim": f"WITH {_DIM} SELECT * FROM dim",
     "json_singers": f"""
         WITH {_PART}, s AS (SELECT {_SINGERS} FROM p)
@@ -479,4 +478,18 @@ ORACLE_SQL: dict[str, str] = {
     "stream_hot_songs_wide": _stream(
         "count(*) AS times", "songname", "true", _WIDE, _HALF_HOUR, _TOP_SONGS
     ),
+    "stream_late": f"""
+        WITH {_MESSAGES}, timed AS (
+          SELECT mid, uid, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS sec FROM msg WHERE k <> 99),
+        parts AS (
+          SELECT mid, uid, greatest(0, least(2, (sec + (sec * 7919) % 6000 - 3000) // 864000)) AS part
+          FROM timed
+          UNION ALL SELECT 'end', 'end', 3)
+        SELECT mid, count(*) AS pv, count(DISTINCT uid) AS uv, CAST(shown AS INTEGER) AS shown
+        FROM parts JOIN range(4) r(shown) ON part IN (shown, shown - 1) GROUP BY mid, shown""",
+    "stream_resume": _stream("count(*) AS pv", "mid", "k <> 99", _WIDE, _HALF_HOUR),
+    "stream_last_window": _stream(
+        "count(*) AS pv", "mid", "k <> 99", _WIDE, _HALF_HOUR,
+        "SELECT mid, pv FROM found WHERE window_start = (SELECT max(window_start) FROM found)",
+    ),
 }

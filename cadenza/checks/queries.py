@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +17,18 @@ from cadenza.plans import ledger as ledger_plan
 from cadenza.session import STREAM_SETTINGS, scratch_path
 from cadenza.sinks.text import write_by_table
 from cadenza.sources import messages, samples
+from cadenza.sources.client_log import read_lines
 from cadenza.sources.samples import RUN_DAY as DAY
-from cadenza.sources.tables import DAY as DAY_COLUMN
 from cadenza.sources.tables import Warehouse, on_day
-from cadenza.streaming import counts, runs
+from cadenza.streaming import arrivals, counts, runs
 
+CATALOG = "cadenza_checks"
 WIDE_WINDOW, WIDE_SLIDE = "6 hours", "30 minutes"
-REPLAY_DELAY = "40 days"  # longer than the sample's span, so no replayed message is late
+ARRIVAL = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
 
 def _dated(df: DataFrame) -> DataFrame:
-    return df.withColumn(DAY_COLUMN, F.lit(DAY))
+    return df.withColumn("data_dt", F.lit(DAY))
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,10 +46,7 @@ def log_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 def log_demux_text(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "routed")
     write_by_table(client_log.routed_text(_records(spark, folder)), path)
-    written = spark.read.text(path)
-    return written.groupBy("table_name").agg(
-        F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars")
-    )
+    return spark.read.text(path).select("table_name", "value")
 
 
 def partition_store(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,10 +55,33 @@ def partition_store(spark: SparkSession, folder: str) -> DataFrame:
     plays = samples.plays(spark, folder)
     store.load_days(plays, "plays")
     store.replace_day(on_day(plays, DAY), "plays", DAY)
-    return store.read("plays").groupBy(DAY_COLUMN).agg(
-        F.count("*").alias("n_plays"),
-        F.sum(F.col("DUR_TIME").cast("bigint")).alias("total_time"),
-    )
+    return store.read("plays")
+
+
+def catalog_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in the session's catalog."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {CATALOG}")
+    store, name = Warehouse(spark, database=CATALOG), f"plays_{uuid.uuid4().hex}"
+    plays = samples.plays(spark, folder)
+    store.load_days(plays, name)
+    store.replace_day(on_day(plays, DAY), name, DAY)
+    return store.read(name)
+
+
+def table_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A table without days, written twice; the second content stays."""
+    store = Warehouse(spark, root=scratch_path(spark, "store"))
+    songs_now = song_dim(spark, folder)
+    store.replace(songs_now.limit(1), "songs")
+    store.replace(songs_now, "songs")
+    return store.read("songs")
+
+
+def log_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The log written as compressed text files, read, and split into plays."""
+    path = scratch_path(spark, "raw")
+    samples.log_lines(spark, folder).repartition(4).write.option("compression", "gzip").text(path)
+    return client_log.play_records(client_log.parse_records(read_lines(spark, path)))
 
 
 def song_dim(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,38 +209,54 @@ def region_totals(spark: SparkSession, folder: str) -> DataFrame:
     return revenue.region_totals(_dated(machine_stat(spark, folder)), DAY)
 
 
-def _replayed(spark: SparkSession, folder: str, build: Callable, shape=None) -> DataFrame:
-    """Write the events as a message log, run a stream over it to the end, and read back
-    every window it emitted."""
+def _in_batches(session: SparkSession, folder: str, log: str, then=None) -> None:
+    """The message log as files in the order of arrival: ``samples.BATCHES`` of the messages,
+    then the end message alone. ``then`` runs when the first file is there."""
+    sent = samples.messages(session, folder).withColumn("part", samples.arrival_part())
+    for part in range(samples.BATCHES):
+        rows = sent.where(F.col("part") == part).drop("part")
+        rows.coalesce(1).write.mode("append").parquet(log)
+        if then and not part:
+            then()
+    samples.end_message(session, folder).coalesce(1).write.mode("append").parquet(log)
+
+
+def _stream_session(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     for key, value in STREAM_SETTINGS.items():
         session.conf.set(key, value)
     # State partitions are fixed for a stream's life; size them by the cluster's cores.
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
+def _stamped(found: DataFrame, *names: str) -> DataFrame:
+    return found.withColumns({n: F.date_format(n, "yyyy-MM-dd HH:mm:ss") for n in names})
+
+
+def _replayed(spark: SparkSession, folder: str, build: Callable, shape=None) -> DataFrame:
+    """Write the events as a message log, out of order by less than the delay, run a stream
+    over it file by file, and read back every window it emitted."""
+    session = _stream_session(spark)
     log, out = scratch_path(spark, "log"), scratch_path(spark, "windows")
     progress = scratch_path(spark, "progress")
-    sent = samples.messages(session, folder).unionByName(samples.end_message(session, folder))
-    sent.write.parquet(log)
-    rows = build(messages.parse(messages.from_files(session, log)))
+    _in_batches(session, folder, log)
+    rows = build(messages.parse(messages.from_files(session, log, maxFilesPerTrigger="1")))
     runs.replay_to_files(rows, out, progress, shape)
-    found = spark.read.parquet(out).drop("batch")
-    stamp = "yyyy-MM-dd HH:mm:ss"
-    return found.withColumns(
-        {name: F.date_format(name, stamp) for name in ("window_start", "window_end")}
-    )
+    return _stamped(spark.read.parquet(out).drop("batch"), "window_start", "window_end")
 
 
 def stream_pv(spark: SparkSession, folder: str) -> DataFrame:
-    return _replayed(spark, folder, lambda m: counts.page_views(m, delay=REPLAY_DELAY))
+    return _replayed(spark, folder, lambda m: counts.page_views(m, delay=samples.DELAY))
 
 
 def stream_uv(spark: SparkSession, folder: str) -> DataFrame:
-    return _replayed(spark, folder, lambda m: counts.unique_users(m, delay=REPLAY_DELAY))
+    return _replayed(spark, folder, lambda m: counts.unique_users(m, delay=samples.DELAY))
 
 
 def stream_hot_songs(spark: SparkSession, folder: str) -> DataFrame:
     return _replayed(
-        spark, folder, lambda m: counts.song_counts(m, delay=REPLAY_DELAY), counts.hot_songs
+        spark, folder, lambda m: counts.song_counts(m, delay=samples.DELAY), counts.hot_songs
     )
 
 
@@ -225,7 +264,7 @@ def stream_uv_wide(spark: SparkSession, folder: str) -> DataFrame:
     return _replayed(
         spark,
         folder,
-        lambda m: counts.unique_users(m, WIDE_WINDOW, WIDE_SLIDE, REPLAY_DELAY),
+        lambda m: counts.unique_users(m, WIDE_WINDOW, WIDE_SLIDE, samples.DELAY),
     )
 
 
@@ -233,18 +272,81 @@ def stream_hot_songs_wide(spark: SparkSession, folder: str) -> DataFrame:
     return _replayed(
         spark,
         folder,
-        lambda m: counts.song_counts(m, WIDE_WINDOW, WIDE_SLIDE, REPLAY_DELAY),
+        lambda m: counts.song_counts(m, WIDE_WINDOW, WIDE_SLIDE, samples.DELAY),
         counts.hot_songs,
     )
 
 
+def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """Page views of a stream that is stopped after the first file and started again."""
+    session = _stream_session(spark)
+    log, out = scratch_path(spark, "log"), scratch_path(spark, "windows")
+    progress = scratch_path(spark, "progress")
+
+    def run() -> None:
+        source = messages.from_files(session, log, maxFilesPerTrigger="1")
+        rows = counts.page_views(messages.parse(source), WIDE_WINDOW, WIDE_SLIDE, samples.DELAY)
+        runs.replay_to_files(rows, out, progress)
+
+    _in_batches(session, folder, log, run)
+    run()
+    return _stamped(spark.read.parquet(out).drop("batch"), "window_start", "window_end")
+
+
+def stream_last_window(spark: SparkSession, folder: str) -> DataFrame:
+    """What the table of page views holds when the stream has read everything."""
+    session = _stream_session(spark)
+    log, place = scratch_path(spark, "log"), scratch_path(spark, "table")
+    _in_batches(session, folder, log)
+    shown = []
+
+    def write(df: DataFrame) -> None:
+        path = f"{place}/{len(shown)}"
+        df.write.parquet(path)
+        shown.append(path)
+
+    source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger="1"))
+    runs.start_visitors(
+        source, write, lambda df: None, scratch_path(spark, "progress"), samples.DELAY,
+        WIDE_WINDOW, WIDE_SLIDE, availableNow=True,
+    ).awaitTermination()
+    return spark.read.parquet(shown[-1])
+
+
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows by arrival over the same log: messages count when they are read, however old
+    they are. Batches arrive 30 seconds apart; the running window is kept after each."""
+    session = _stream_session(spark)
+    log, place = scratch_path(spark, "log"), scratch_path(spark, "arrivals")
+    _in_batches(session, folder, log)
+    shown = []
+
+    def clock(batch_id: int) -> datetime:
+        return ARRIVAL + timedelta(seconds=30 * batch_id)
+
+    def write(rows: DataFrame) -> None:
+        path = f"{place}/shown-{len(shown)}"
+        found = arrivals.visitors(rows).withColumn("shown", F.lit(len(shown)))
+        found.write.mode("overwrite").parquet(path)
+        shown.append(path)
+
+    source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger="1"))
+    arrivals.start(
+        source, ("mid", "uid"), write, place, clock=clock, beats=False, availableNow=True
+    ).awaitTermination()
+    return spark.read.parquet(*shown)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         log_demux,
         log_quarantine,
         log_demux_text,
+        log_scan,
         partition_store,
+        catalog_store,
+        table_overwrite,
         song_dim,
         json_singers,
         time_normalise,
@@ -269,5 +371,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_hot_songs,
         stream_uv_wide,
         stream_hot_songs_wide,
+        stream_late,
+        stream_resume,
+        stream_last_window,
     )
 }

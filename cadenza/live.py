@@ -12,27 +12,54 @@ from pyspark.sql import SparkSession
 
 from cadenza.session import build_session
 from cadenza.sources import messages
-from cadenza.streaming import runs
+from cadenza.streaming import arrivals, counts, runs
 
 STATE_PARTITIONS = 64
 
 
 def start(
-    spark: SparkSession, stream: str, log, checkpoint: str, writer_for, **trigger
+    spark: SparkSession,
+    stream: str,
+    log,
+    checkpoint: str,
+    writer_for,
+    delay: str | None = None,
+    window: str = counts.WINDOW,
+    slide: str | None = None,
+    top: int = counts.TOP_SONGS,
+    beats: bool = False,
+    **trigger,
 ) -> list:
-    """Start the queries of ``stream`` over the (value, timestamp) log. Each has its own
-    checkpoint; ``writer_for`` gives the writer of a result table."""
+    """Start the query of ``stream`` over the (value, timestamp) log; ``writer_for`` gives the
+    writer of a result table. Without ``delay`` windows go by arrival and the running one
+    is shown; with it they go by event time and the last complete one is shown."""
     parsed = messages.parse(log)
+    views, users, hot = (writer_for(t) for t in (runs.PV_TABLE, runs.UV_TABLE, runs.SONG_TABLE))
+    if delay is None:
+        trigger = trigger or {
+            "processingTime": slide
+            or (runs.SONG_TRIGGER if stream == "songs" else runs.VISITOR_TRIGGER)
+        }
+
+        def write_visitors(rows) -> None:
+            found = arrivals.visitors(rows).persist()
+            views(found.select("mid", "pv"))
+            users(found.select("mid", "uv"))
+            found.unpersist()
+
+        keys, write = ("mid", "uid"), write_visitors
+        if stream == "songs":
+            keys, write = ("songname",), lambda rows: hot(arrivals.songs(rows, top))
+        place = f"{checkpoint}/{stream}-arrival"
+        return [arrivals.start(parsed, keys, write, place, window, beats=beats, **trigger)]
+    if beats:
+        parsed = runs.with_heartbeat(parsed)
+    place = f"{checkpoint}/{stream}"
     if stream == "songs":
-        return [
-            runs.start_hot_songs(
-                parsed, writer_for(runs.SONG_TABLE), f"{checkpoint}/songs", **trigger
-            )
-        ]
-    return [
-        runs.start_page_views(parsed, writer_for(runs.PV_TABLE), f"{checkpoint}/pv", **trigger),
-        runs.start_unique_users(parsed, writer_for(runs.UV_TABLE), f"{checkpoint}/uv", **trigger),
-    ]
+        slide = slide or counts.SONG_SLIDE
+        return [runs.start_hot_songs(parsed, hot, place, delay, window, slide, top, **trigger)]
+    slide = slide or counts.VISITOR_SLIDE
+    return [runs.start_visitors(parsed, views, users, place, delay, window, slide, **trigger)]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -42,7 +69,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=messages.TOPIC)
     parser.add_argument(
         "--offset", action="append", metavar="PARTITION=OFFSET",
-        help="first start of one partition; without any, all partitions from the beginning",
+        help="first start, given for every partition (-2: its beginning); default: beginnings",
+    )
+    parser.add_argument("--rate", type=int, default=messages.RATE, help="messages of a batch")
+    parser.add_argument(
+        "--delay", help="windows by event time, for messages at most this late; later ones are "
+        "dropped and reported. Without it windows go by arrival and nothing is late",
+    )
+    parser.add_argument("--window", default=counts.WINDOW)
+    parser.add_argument("--slide", help="of windows, and how often arrival windows are shown")
+    parser.add_argument("--top", type=int, default=counts.TOP_SONGS, help="songs of a window")
+    parser.add_argument(
+        "--backlog", action="store_true",
+        help="no heartbeat: old messages are read, the last windows wait for newer ones",
     )
     parser.add_argument("--checkpoint", required=True, help="shared folder for progress")
     parser.add_argument(
@@ -60,13 +99,21 @@ def main(argv: list[str] | None = None) -> None:
     if args.offset:
         pairs = (item.split("=", 1) for item in args.offset)
         offsets = {int(partition): int(at) for partition, at in pairs}
-    log = messages.from_kafka(spark, args.servers, topic=args.topic, offsets=offsets)
+    log = messages.from_kafka(
+        spark, args.servers, topic=args.topic, offsets=offsets, rate=args.rate
+    )
+    spark.streams.addListener(runs.LateReport())
     start(
         spark,
         args.stream,
         log,
         args.checkpoint,
         lambda table: runs.jdbc_writer(args.jdbc_url, table, properties),
+        args.delay,
+        args.window,
+        args.slide,
+        args.top,
+        beats=not args.backlog,
     )
     spark.streams.awaitAnyTermination()
 

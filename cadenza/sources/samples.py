@@ -413,6 +413,19 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The replayed log: so many files of messages, which come out of order by less than DELAY.
+BATCHES, DELAY = 3, "2 hours"
+_EVENTS_FROM, _SPAN_DAYS, _JITTER = "2024-01-01", 10, 3000
+
+
+def arrival_part() -> Column:
+    """The file in which a message comes: by its time, moved by up to 50 minutes."""
+    at = F.unix_timestamp("timestamp") - F.unix_timestamp(F.lit(_EVENTS_FROM).cast("timestamp"))
+    moved = at + F.pmod(at * 7919, F.lit(2 * _JITTER)) - _JITTER
+    part = F.floor(moved / (_SPAN_DAYS * 86400))
+    return F.greatest(F.lit(0), F.least(F.lit(BATCHES - 1), part)).cast("int")
+
+
 def end_message(spark: SparkSession, folder: str) -> DataFrame:
     """A message late enough to close all windows but its own, which stay open."""
     last = F.max(F.col("ts").cast("timestamp")) + F.expr("INTERVAL 120 DAYS")

@@ -1,7 +1,9 @@
 """Sliding-window counts; the same functions serve streams and static tables.
 
-Windows run on event time with a watermark. Streams use append mode: a window comes out
-once, complete, after the watermark has passed its end.
+Windows run on event time. Messages are counted per slide-wide bucket first, and only the
+buckets' counts are spread over the windows, so a stream's first state and shuffle hold one row
+per bucket and key. Streams use append mode: a window comes out once, complete, after the
+watermark has passed its end.
 """
 
 from __future__ import annotations
@@ -16,14 +18,38 @@ WINDOW = "60 seconds"
 VISITOR_SLIDE = "5 seconds"
 SONG_SLIDE = "20 seconds"
 TOP_SONGS = 30
-DELAY = "10 seconds"
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
-def _timed(messages: DataFrame, delay: str) -> DataFrame:
-    return messages.withWatermark("ts", delay) if messages.isStreaming else messages
 
+def seconds(span: str) -> int:
+    """The length of a span such as ``60 seconds`` or ``6 hours``."""
+    number, unit = span.split()
+    return int(number) * _SECONDS[unit.lower().rstrip("s")]
 
-def _with_bounds(counts: DataFrame, *columns: str) -> DataFrame:
+
+def _buckets(messages: DataFrame, slide: str, window: str, delay: str | None, *keys: str):
+    """Messages per bucket of one slide and ``keys``."""
+    if seconds(window) % seconds(slide):
+        raise ValueError("a window must be a whole number of slides")
+    if messages.isStreaming:
+        if delay is None:
+            raise ValueError("a stream on event time needs the delay of its messages")
+        messages = messages.withWatermark("ts", delay)
+    return (
+        messages.where(F.col(keys[0]).isNotNull())
+        .groupBy(F.window("ts", slide), *keys)
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def _spread(buckets: DataFrame, slide: str, window: str, *keys: str) -> DataFrame:
+    """The buckets' counts summed over every window they lie in."""
+    windows = F.window(F.window_time("window"), window, slide)
+    return buckets.groupBy(windows, *keys).agg(F.sum("n").alias("n"))
+
+
+def _with_bounds(counts: DataFrame, *columns) -> DataFrame:
     return counts.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -32,48 +58,57 @@ def _with_bounds(counts: DataFrame, *columns: str) -> DataFrame:
 
 
 def page_views(
-    messages: DataFrame, window: str = WINDOW, slide: str = VISITOR_SLIDE, delay: str = DELAY
+    messages: DataFrame,
+    window: str = WINDOW,
+    slide: str = VISITOR_SLIDE,
+    delay: str | None = None,
 ) -> DataFrame:
     """Messages per machine and window. Partial counts precede the shuffle, so a busy
-    machine sends one row per task and window."""
-    counts = (
-        _timed(messages, delay)
-        .where(F.col("mid").isNotNull())
-        .groupBy(F.window("ts", window, slide), "mid")
-        .agg(F.count("*").alias("pv"))
-    )
-    return _with_bounds(counts, "mid", "pv")
+    machine sends one row per task and bucket."""
+    counts = _spread(_buckets(messages, slide, window, delay, "mid"), slide, window, "mid")
+    return _with_bounds(counts, "mid", F.col("n").alias("pv"))
 
 
-def unique_users(
-    messages: DataFrame, window: str = WINDOW, slide: str = VISITOR_SLIDE, delay: str = DELAY
+def visitors(
+    messages: DataFrame,
+    window: str = WINDOW,
+    slide: str = VISITOR_SLIDE,
+    delay: str | None = None,
 ) -> DataFrame:
-    """Exact distinct users per machine and window; a missing user is not counted.
+    """Messages and exact distinct users per machine and window, from one state; a missing
+    user is not counted as a user.
 
-    Two chained groupings: state is one small row per (window, machine, user), spread by
-    user, never a growing set per machine.
+    Chained groupings: state is one small row per (bucket or window, machine, user), spread
+    by user, never a growing set per machine.
     """
-    visits = (
-        _timed(messages, delay)
-        .where(F.col("mid").isNotNull())
-        .groupBy(F.window("ts", window, slide), "mid", "uid")
-        .agg(F.count("*").alias("visits"))
+    buckets = _buckets(messages, slide, window, delay, "mid", "uid")
+    visits = _spread(buckets, slide, window, "mid", "uid")
+    counts = visits.groupBy("window", "mid").agg(
+        F.sum("n").alias("pv"), F.count("uid").alias("uv")
     )
-    counts = visits.groupBy("window", "mid").agg(F.count("uid").alias("uv"))
-    return _with_bounds(counts, "mid", "uv")
+    return _with_bounds(counts, "mid", "pv", "uv")
+
+
+def unique_users(
+    messages: DataFrame,
+    window: str = WINDOW,
+    slide: str = VISITOR_SLIDE,
+    delay: str | None = None,
+) -> DataFrame:
+    """The users of ``visitors``."""
+    return visitors(messages, window, slide, delay).drop("pv")
 
 
 def song_counts(
-    messages: DataFrame, window: str = WINDOW, slide: str = SONG_SLIDE, delay: str = DELAY
+    messages: DataFrame,
+    window: str = WINDOW,
+    slide: str = SONG_SLIDE,
+    delay: str | None = None,
 ) -> DataFrame:
     """Plays per song name and window."""
-    counts = (
-        _timed(messages, delay)
-        .where(F.col("songname").isNotNull())
-        .groupBy(F.window("ts", window, slide), "songname")
-        .agg(F.count("*").alias("times"))
-    )
-    return _with_bounds(counts, "songname", "times")
+    buckets = _buckets(messages, slide, window, delay, "songname")
+    counts = _spread(buckets, slide, window, "songname")
+    return _with_bounds(counts, "songname", F.col("n").alias("times"))
 
 
 def hot_songs(counts: DataFrame, top: int = TOP_SONGS) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cadenza.sinks.jdbc import replace_table
 from cadenza.streaming import counts
@@ -17,6 +18,7 @@ Shape = Callable[[DataFrame], DataFrame]
 # Triggers and result tables.
 VISITOR_TRIGGER = "5 seconds"
 SONG_TRIGGER = "20 seconds"
+BEAT = "\x00beat"
 PV_TABLE, UV_TABLE, SONG_TABLE = "tw_pv", "tw_uv", "hotsong"
 
 
@@ -32,9 +34,12 @@ def latest_window(batch: DataFrame) -> DataFrame:
 
 def replace_with_latest(write: Write, shape: Shape):
     """foreachBatch function: give ``write`` the last window, shaped; skip empty batches,
-    so the table keeps the last window that had rows."""
+    so the table keeps the last window that had rows. Rows of the heartbeat are left out."""
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
+        for key in ("mid", "songname"):
+            if key in batch.columns:
+                batch = batch.where(F.col(key) != BEAT)
         batch.persist()
         try:
             if not batch.isEmpty():
@@ -45,6 +50,15 @@ def replace_with_latest(write: Write, shape: Shape):
     return handle
 
 
+def with_heartbeat(messages: DataFrame) -> DataFrame:
+    """The messages and one marked row a second, which moves the watermark on when traffic
+    stops, so that the last windows come out. For live traffic: a backlog older than the
+    delay would count as late."""
+    beats = messages.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    marked = [F.lit(BEAT).alias(name) for name in ("mid", "uid", "songid", "songname")]
+    return messages.unionByName(beats.select(F.col("timestamp").alias("ts"), *marked))
+
+
 def _start(rows: DataFrame, handle, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Progress and state live in ``checkpoint``; give each query its own."""
     return (
@@ -56,26 +70,36 @@ def _start(rows: DataFrame, handle, checkpoint: str, trigger: dict) -> Streaming
     )
 
 
-def start_page_views(
-    messages: DataFrame, write: Write, checkpoint: str, **trigger
+def start_visitors(
+    messages: DataFrame,
+    write_views: Write,
+    write_users: Write,
+    checkpoint: str,
+    delay: str,
+    window: str = counts.WINDOW,
+    slide: str = counts.VISITOR_SLIDE,
+    **trigger,
 ) -> StreamingQuery:
-    """Keep ``write``'s table at mid, pv of the last complete window."""
-    handle = replace_with_latest(write, lambda df: df.select("mid", "pv"))
-    trigger = trigger or {"processingTime": VISITOR_TRIGGER}
-    return _start(counts.page_views(messages), handle, checkpoint, trigger)
+    """Keep two tables, mid, pv and mid, uv, at the last complete window, from one state."""
 
+    def write(df: DataFrame) -> None:
+        write_views(df.select("mid", "pv"))
+        write_users(df.select("mid", "uv"))
 
-def start_unique_users(
-    messages: DataFrame, write: Write, checkpoint: str, **trigger
-) -> StreamingQuery:
-    """Keep ``write``'s table at mid, uv of the last complete window."""
-    handle = replace_with_latest(write, lambda df: df.select("mid", "uv"))
+    rows = counts.visitors(messages, window, slide, delay)
     trigger = trigger or {"processingTime": VISITOR_TRIGGER}
-    return _start(counts.unique_users(messages), handle, checkpoint, trigger)
+    return _start(rows, replace_with_latest(write, lambda df: df), checkpoint, trigger)
 
 
 def start_hot_songs(
-    messages: DataFrame, write: Write, checkpoint: str, top: int = counts.TOP_SONGS, **trigger
+    messages: DataFrame,
+    write: Write,
+    checkpoint: str,
+    delay: str,
+    window: str = counts.WINDOW,
+    slide: str = counts.SONG_SLIDE,
+    top: int = counts.TOP_SONGS,
+    **trigger,
 ) -> StreamingQuery:
     """Keep ``write``'s table at songname, times, rank of the last complete window."""
 
@@ -83,9 +107,39 @@ def start_hot_songs(
         return counts.hot_songs(df, top).select("songname", "times", "rank")
 
     trigger = trigger or {"processingTime": SONG_TRIGGER}
-    return _start(
-        counts.song_counts(messages), replace_with_latest(write, shape), checkpoint, trigger
-    )
+    rows = counts.song_counts(messages, window, slide, delay)
+    return _start(rows, replace_with_latest(write, shape), checkpoint, trigger)
+
+
+def late_rows(progress) -> int:
+    """Rows that came after their window had been given out, in one progress report.
+
+    Counted after partial aggregation, so it is 0 exactly when no message was dropped.
+    """
+    report = json.loads(progress.json)
+    return sum(op.get("numRowsDroppedByWatermark", 0) for op in report["stateOperators"])
+
+
+class LateReport(StreamingQueryListener):
+    """Tells ``say`` of every micro-batch that dropped late rows, and keeps the total."""
+
+    def __init__(self, say: Callable[[str], None] = print):
+        self.say, self.total = say, 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = late_rows(event.progress)
+        if late:
+            self.total += late
+            self.say(f"batch {event.progress.batchId}: {late} rows later than the delay")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def replay_to_files(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadenza import live
 from cadenza.sources import messages
-from cadenza.streaming import counts, runs
+from cadenza.streaming import arrivals, counts, runs
 
 START = datetime(2024, 1, 1)
 LOG = "value string, timestamp timestamp"
@@ -109,7 +109,8 @@ def test_result_tables_hold_the_last_window(spark, tmp_path):
     for stream in ("visitors", "songs"):
         source = messages.from_files(spark, log)
         started = live.start(
-            spark, stream, source, str(tmp_path / stream), writer_for, availableNow=True
+            spark, stream, source, str(tmp_path / stream), writer_for, "10 minutes",
+            availableNow=True,
         )
         for query in started:
             query.awaitTermination()
@@ -127,6 +128,66 @@ def test_result_tables_hold_the_last_window(spark, tmp_path):
     assert sorted(tables["hotsong"][1], key=str) == collected(hot)
 
 
+def test_late_messages_are_counted_or_reported(spark, tmp_path):
+    """Forty messages older than the delay, in a batch after newer ones have closed windows."""
+    log, first = str(tmp_path / "log"), [message(5000 + i, "m", f"u{i}", "s") for i in range(60)]
+    late = [message(i, "late", f"u{i}", "s") for i in range(40)]
+    second = [message(6000 + i, "m", f"u{i}", "s") for i in range(60)]
+    for rows in (first, second, late):
+        write(spark, rows, log)
+    tables = {}
+
+    def writer_for(table):
+        return lambda df: tables.__setitem__(table, collected(df))
+
+    def run(name, **how):
+        source = messages.from_files(spark, log, maxFilesPerTrigger="1")
+        for query in live.start(spark, "visitors", source, str(tmp_path / name), writer_for,
+                                availableNow=True, **how):
+            query.awaitTermination()
+            return [runs.late_rows(p) for p in query.recentProgress]
+
+    run("arrival")
+    assert tables["tw_pv"] == [("late", 40), ("m", 120)]
+    assert tables["tw_uv"] == [("late", 40), ("m", 60)]
+    assert sum(run("event", delay="10 seconds")) > 0
+    tables.clear()
+    assert sum(run("patient", delay="2 hours")) == 0
+    with pytest.raises(ValueError, match="delay"):
+        counts.page_views(messages.parse(messages.from_files(spark, log)))
+
+
+def test_arrival_window_moves_on_and_forgets(spark, tmp_path):
+    log, shown = str(tmp_path / "log"), []
+    for k in range(4):
+        write(spark, [message(0, f"m{k}", "u", f"s{k}")], log)
+
+    def show(rows):
+        shown.append((collected(arrivals.visitors(rows)), collected(arrivals.songs(rows, 1))))
+
+    source = messages.parse(messages.from_files(spark, log, maxFilesPerTrigger="1"))
+    place = str(tmp_path / "place")
+    arrivals.start(
+        source, ("mid", "uid"), show, place, "60 seconds", beats=False, availableNow=True,
+        clock=lambda n: START + timedelta(seconds=40 * n),
+    ).awaitTermination()
+    assert [[row[0] for row in visitors] for visitors, _ in shown] == [
+        ["m0"], ["m0", "m1"], ["m1", "m2"], ["m2", "m3"]
+    ]
+    assert all(songs == [] for _, songs in shown)  # the store keeps the asked keys only
+    assert len([p for p in (tmp_path / "place" / "window").iterdir() if "=" in p.name]) == 2
+
+
+def test_buckets_are_counted_before_they_are_spread(spark):
+    rows = messages.parse(spark.createDataFrame(sample(20), LOG))
+    for build in (counts.page_views, counts.visitors, counts.song_counts):
+        plan = build(rows)._jdf.queryExecution().optimizedPlan().toString()
+        spread = plan.index("Expand") if "Expand" in plan else plan.index("Generate")
+        assert "Aggregate" in plan[:spread] and "Aggregate" in plan[spread:]
+    with pytest.raises(ValueError, match="slides"):
+        counts.page_views(rows, "60 seconds", "7 seconds")
+
+
 def test_start_positions():
     first = messages.kafka_options("h:1")
     assert first == {
