@@ -200,8 +200,11 @@ def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(ids: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``doc_id, items``: the whole shingle sets of some documents, stored."""
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(
+    """``doc_id, items``: the whole shingle sets of some documents, stored.
+
+    The ids grow with the input, so texts and ids meet by a merge join at every size.
+    """
+    sets = docs.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(
         _sets, "doc_id long, n long, set_hash long, items array<long>"
     )
     chosen = sketches.select("doc_id", "n", "set_hash")
@@ -260,8 +263,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     likely = _with(star.distinct(), sketches.select("doc_id", "n", "regs"))
     likely = likely.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
     likely = stored(likely.mapInArrow(_likely(percent), "a long, b long"), "likely")
-    ids = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    links = _links(likely, _full_sets(ids, docs, sketches), percent)
+    sets = _full_sets(degrees.select("doc_id"), docs, sketches)
+    links = _links(likely, sets, percent)
     groups = stored(components(links, "groups"), "groups")
 
     # Members of a bucket that the stars have not brought together.
@@ -272,8 +275,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     open_ = placed.join(apart.where("low < high").select("key"), "key").where("doc_id <> hub")
     open_ = stored(open_.join(sketches.select("doc_id", "n"), "doc_id"), "open")
-    sets = _full_sets(open_.select("doc_id").distinct(), docs, sketches)
-    fine = stored(sets.mapInArrow(_fine, "doc_id long, bits array<long>"), "fine")
+    loose = sets.join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
+    fine = stored(loose.mapInArrow(_fine, "doc_id long, bits array<long>"), "fine")
     open_ = open_.join(fine, "doc_id")
     left, right = open_.alias("l"), open_.alias("r")
     rest = left.join(right, F.col("l.key") == F.col("r.key")).where(
