@@ -19,6 +19,7 @@ from cadenza.llm.anchors import (
     packed_rows,
     plain_texts,
     remove_repeats,
+    unpacked_ids,
     unplanes,
 )
 from cadenza.llm.common import stored
@@ -52,13 +53,15 @@ def _probes(bucket_total: int):
             rest = (hashes[heads] >> np.uint64(bits)).astype(np.uint32)
             rest = rest & np.uint32(0xFFFFFFFE) | block.astype(np.uint32)
             bucket = (hashes[heads] & np.uint64(bucket_total - 1)).astype(np.int32)
-            yield packed_rows(bucket, False, ids[heads], place[heads], rest)
-            every = np.repeat(size > 1, size)
-            where = np.arange(len(hashes))[every]
-            owner = np.repeat(bucket, size)[every]
-            yield packed_rows(
-                owner, True, ids[where], place[where], np.zeros(len(where), np.uint8)
-            )
+            read = np.argsort(order[heads])  # back in the order of the text
+            first = heads[read]
+            yield packed_rows(bucket[read], False, ids[first], place[first], rest[read])
+            again = np.flatnonzero(np.repeat(size > 1, size))
+            owner = np.repeat(bucket, size)[again]
+            read = np.argsort(order[again])
+            where = again[read]
+            none = np.zeros(len(where), np.uint8)
+            yield packed_rows(owner[read], True, ids[where], place[where], none)
 
     return run
 
@@ -66,7 +69,7 @@ def _probes(bucket_total: int):
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The probes that meet an index block other than themselves, and those blocks."""
     for done, rows in buckets(batches):
-        ids = np.concatenate([unplanes(r[0], np.int64) for r in rows])
+        ids = np.concatenate([unpacked_ids(r[0]) for r in rows])
         places = np.concatenate([unplanes(r[1], np.int32) for r in rows])
         if not done:
             rest = np.concatenate([unplanes(r[2], np.uint32) for r in rows])
