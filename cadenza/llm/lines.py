@@ -97,16 +97,9 @@ def _neighbourhoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         of = np.repeat(np.array(picked, np.int64), sizes)
         keys = np.concatenate([np.zeros(0, np.uint64), *(keys for keys, _ in found)])
         kinds = np.concatenate([np.zeros(0, np.int32), *(kinds for _, kinds in found)])
-        yield pa.RecordBatch.from_arrays(
-            [
-                signed(keys),
-                pa.array(kinds),
-                pa.array(hashes[of]),
-                batch.column("doc_id").take(pa.array(lines.text[of])),
-                pa.array(lines.line[of].astype(np.int32)),
-            ],
-            ["key", "kind", "hash", "doc_id", "line"],
-        )
+        # Key and kind travel as one number; there are many more of these than lines.
+        tags = keys & np.uint64((1 << 64) - 4) | kinds.astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([signed(tags), pa.array(hashes[of])], ["tag", "hash"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,18 +215,23 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long"), "text", "wanted"
     )
     texts = stored(texts, "texts")
-    variants = texts.mapInArrow(
-        _neighbourhoods, "key long, kind int, hash long, doc_id long, line int"
+    variants = stored(texts.mapInArrow(_neighbourhoods, "tag long, hash long"), "variants")
+    keyed = variants.select(F.shiftright("tag", 2).alias("key"), "tag", "hash")
+    met = keyed.groupBy("key").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+    met = keyed.join(met.where("low < high").select("key"), "key")
+    met = met.join(near.select("hash", "place"), "hash").select(
+        "key",
+        F.col("tag").bitwiseAND(F.lit(3)).cast("int").alias("kind"),
+        "hash",
+        "place.doc_id",
+        "place.line",
     )
-    variants = stored(variants, "variants")
+    met = stored(met, "met")
     first = [
         F.min(F.when(F.col("kind") == kind, F.struct("doc_id", "line", "hash"))).alias(f"first{kind}")
         for kind in (SUBSTITUTED, WHOLE, SHORTENED)
     ]
-    groups = variants.groupBy("key").agg(
-        *first, F.min("hash").alias("low"), F.max("hash").alias("high")
-    )
-    met = variants.join(groups.where("low < high").drop("low", "high"), "key")
+    met = met.join(met.groupBy("key").agg(*first), "key")
     other = (
         F.when(F.col("kind") == SUBSTITUTED, F.col(f"first{SUBSTITUTED}"))
         .when(F.col("kind") == WHOLE, F.col(f"first{SHORTENED}"))
