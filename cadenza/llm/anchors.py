@@ -1,11 +1,12 @@
 """Removal of repeated word windows, found through anchors that the repeats share.
 
 An operator names anchors: places of a document whose run of words stands elsewhere too, such
-that two equal windows always have an anchor at the same place inside. Here each anchor gets
-the hashes of all windows around it, anchors with equal words meet, and each learns which of
-its windows also start earlier. Entries travel as packed arrays, one row per task slice and
-bucket. Repeats inside a slice are settled there, so a passage that stands in a third of all
-documents sends one entry per slice, not one per document.
+that two equal windows always have an anchor at the same place inside. Here every window around
+an anchor is an entry under the hash of all its words; equal windows meet, and all but the
+earliest are repeats. Entries travel as packed arrays, one row per task slice and bucket.
+Repeats inside a slice are settled there, so a window that stands in a third of all documents
+sends one entry per slice, and the windows that reach past a frequent passage, each with its
+own hash, are spread over all buckets.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ BUCKET_BYTES = 1 << 20  # text per bucket of packed entries
 RESULTS = ("n_words", "n_removed", "kept")
 PACKED = "bucket int, done boolean, ids binary, places binary, facts binary"
 _NAMES = ["bucket", "done", "ids", "places", "facts"]
-_LOW48 = np.uint64((1 << 48) - 1)
+_STEP = 0x9E3779B1  # odd, so that consecutive numbers get distinct buckets
+_TEXTS = 32  # texts whose settled entries travel together
 
 
 def plain_texts(docs: DataFrame) -> DataFrame:
@@ -119,85 +121,75 @@ def first_of_runs(*keys: np.ndarray) -> np.ndarray:
     return fresh
 
 
-def repeated(anchor: np.ndarray, windows: np.ndarray, ids: np.ndarray, places: np.ndarray):
-    """A mask per entry of its windows (bit per column) that another entry with the same
-    anchor has with an earlier place. Windows of value 0 are not there."""
-    masks = np.zeros(len(anchor), np.uint32)
-    order = np.lexsort((places, ids))
-    for bit in range(windows.shape[1]):
-        value = windows[order, bit]
-        by = order[np.lexsort((value, anchor[order]))]
-        fresh = first_of_runs(anchor[by], windows[by, bit])
-        # The first of a run is its earliest; entries of that same place are not later.
-        start = np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))
-        head = by[start]
-        later = (ids[by] != ids[head]) | (places[by] != places[head])
-        masks[by] |= np.where(later & (windows[by, bit] != 0), 1 << bit, 0).astype(np.uint32)
-    return masks
-
-
-def _surroundings(window: int, anchor: int, buckets_: int):
-    """Each anchor with its windows: settled among the slice's own, the rest in buckets."""
-    offsets = np.arange(window - anchor + 1)
-    full = np.uint32((1 << len(offsets)) - 1)
+def owners(hashes: np.ndarray, text: np.ndarray, bucket_total: int) -> np.ndarray:
+    """A bucket per settled entry of a slice, by its text. They need no meeting, and those of a
+    frequent run would all go to one task by its hash."""
+    salt = int(hashes.sum(dtype=np.uint64)) % bucket_total
+    return ((salt + text // _TEXTS * _STEP) % bucket_total).astype(np.int32)
+
+
+def earliest(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray):
+    """The entries in the order of hash, id and place, a mask of the first of each hash, and
+    a mask of those that start later than it; several of one place are not later."""
+    order = np.lexsort((places, ids, hashes))
+    heads = first_of_runs(hashes[order])
+    head = order[np.maximum.accumulate(np.where(heads, np.arange(len(order)), 0))]
+    later = (ids[order] != ids[head]) | (places[order] != places[head])
+    return order, heads, later
+
+
+def _windows(window: int, anchor: int, bucket_total: int):
+    """The windows around the anchors: repeats among the slice's own are settled, the first of
+    each go on in buckets by their hash."""
+    bits = np.uint64(int(bucket_total).bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = Words(*bytes_of(batch.column("text")))
-            ids = batch.column("doc_id").to_numpy()
             listed = batch.column("places")
             count = pa.compute.list_value_length(listed).to_numpy()
-            text = np.repeat(np.arange(len(ids)), count)
+            text = np.repeat(np.arange(len(words)), count)
             place = listed.flatten().to_numpy().astype(np.int64)
             n = words.counts()
-            inside = (place >= 0) & (place + anchor <= n[text])
-            text, place = text[inside], place[inside]
-            if not len(text):
+            low = np.maximum(place - (window - anchor), 0)
+            high = np.minimum(place, n[text] - window)
+            inside = (place >= 0) & (place + anchor <= n[text]) & (low <= high)
+            if not inside.any():
                 continue
-            poly = Polynomial(words.hash)
-            at = words.first[:-1][text] + place
-            hashes = poly.span(at, at + anchor)
-            start = place[:, None] - offsets
-            there = (start >= 0) & (start + window <= n[text][:, None])
-            low = np.where(there, at[:, None] - offsets, 0)
-            high = np.where(there, low + window, 0)
-            spans = np.where(there, poly.span(low, high) & _LOW48 | np.uint64(1), 0)
-            masks = repeated(hashes, spans, ids[text], place)
-            # An entry goes on if one of its windows has no earlier equal in this slice.
-            have = (there.astype(np.uint32) << offsets.astype(np.uint32)).sum(axis=1)
-            open_ = (have.astype(np.uint32) & ~masks & full) != 0
-            bucket = (hashes % np.uint64(buckets_)).astype(np.int32)
-            facts = np.column_stack([hashes, spans])
-            yield packed_rows(
-                bucket[open_], False, ids[text][open_], place[open_].astype(np.int32), facts[open_]
-            )
-            known = masks != 0
-            yield packed_rows(
-                bucket[known], True, ids[text][known], place[known].astype(np.int32), masks[known]
-            )
+            first = words.first[:-1][text][inside]
+            around = np.zeros(len(words.hash) + 1, np.int64)
+            np.add.at(around, first + low[inside], 1)
+            np.add.at(around, first + high[inside] + 1, -1)
+            at = np.flatnonzero(np.cumsum(around) > 0)
+            text = np.searchsorted(words.first, at, "right") - 1
+            ids = batch.column("doc_id").to_numpy()[text]
+            place = (at - words.first[text]).astype(np.int32)
+            hashes = Polynomial(words.hash).span(at, at + window)
+            order, heads, later = earliest(hashes, ids, place)
+            sent, known = np.sort(order[heads]), np.sort(order[later])
+            # The bucket has the lowest bits.
+            bucket = (hashes[sent] & np.uint64(bucket_total - 1)).astype(np.int32)
+            yield packed_rows(bucket, False, ids[sent], place[sent], hashes[sent] >> bits)
+            owner = owners(hashes, text[known], bucket_total)
+            none = np.zeros(len(known), np.uint8)
+            yield packed_rows(owner, True, ids[known], place[known], none)
 
     return run
 
 
-def _judged(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for done, rows in buckets(batches):
-            ids = np.concatenate([unpacked_ids(r[0]) for r in rows])
-            places = np.concatenate([unplanes(r[1], np.int32) for r in rows])
-            if done:
-                masks = np.concatenate([unplanes(r[2], np.uint32) for r in rows])
-            else:
-                facts = [unplanes(r[2], np.uint64).reshape(-1, 1 + width) for r in rows]
-                facts = np.concatenate(facts)
-                masks = repeated(facts[:, 0], facts[:, 1:], ids, places)
-            known = masks != 0
-            yield from grouped(ids[known], places[known], masks[known].astype(np.int64))
-
-    return run
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for done, rows in buckets(batches):
+        ids = np.concatenate([unpacked_ids(r[0]) for r in rows])
+        places = np.concatenate([unplanes(r[1], np.int32) for r in rows])
+        if not done:
+            hashes = np.concatenate([unplanes(r[2], np.uint64) for r in rows])
+            order, _, later = earliest(hashes, ids, places)
+            ids, places = ids[order[later]], places[order[later]]
+        yield from grouped(ids, places)
 
 
-def grouped(ids: np.ndarray, places: np.ndarray, masks: np.ndarray | None = None):
-    """Entries as one row per document: ``doc_id`` and arrays."""
+def grouped(ids: np.ndarray, places: np.ndarray):
+    """Entries as one row per document: ``doc_id`` and ``places``."""
     if not len(ids):
         return
     order = np.lexsort((places, ids))
@@ -205,11 +197,7 @@ def grouped(ids: np.ndarray, places: np.ndarray, masks: np.ndarray | None = None
     cuts = np.flatnonzero(first_of_runs(ids))
     ends = pa.array(np.append(cuts, len(ids)).astype(np.int32))
     columns = [pa.array(ids[cuts]), pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32)))]
-    names = ["doc_id", "places"]
-    if masks is not None:
-        columns.append(pa.ListArray.from_arrays(ends, pa.array(masks[order])))
-        names.append("masks")
-    yield pa.RecordBatch.from_arrays(columns, names)
+    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "places"])
 
 
 def by_document(found: DataFrame, *names: str) -> DataFrame:
@@ -218,26 +206,20 @@ def by_document(found: DataFrame, *names: str) -> DataFrame:
     return found.groupBy("doc_id").agg(*parts)
 
 
-def _removed(window: int, anchor: int, names: list[str]):
-    offsets = np.arange(window - anchor + 1)
-
+def _removed(window: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = Words(*bytes_of(batch.column("text")))
             n = words.counts()
-            places, masks = batch.columns[-2:]
+            places = batch.columns[-1]
             gone = np.zeros(len(words.hash) + 1, np.int64)
             count = pa.compute.list_value_length(places).fill_null(0).to_numpy()
             text = np.repeat(np.arange(len(n)), count)
             place = places.flatten().to_numpy().astype(np.int64)
-            mask = masks.flatten().to_numpy().astype(np.int64)
-            if len(text):
-                start = place[:, None] - offsets
-                flagged = (mask[:, None] >> offsets & 1).astype(bool)
-                flagged &= (start >= 0) & (start + window <= n[text][:, None])
-                at = (words.first[:-1][text][:, None] + start)[flagged]
-                np.add.at(gone, at, 1)
-                np.add.at(gone, at + window, -1)
+            there = (place >= 0) & (place + window <= n[text])
+            at = (words.first[:-1][text] + place)[there]
+            np.add.at(gone, at, 1)
+            np.add.at(gone, at + window, -1)
             removed = np.cumsum(gone[:-1]) > 0
             n_removed = np.diff(np.concatenate([[0], np.cumsum(removed)])[words.first])
             kept = []
@@ -259,7 +241,7 @@ def _removed(window: int, anchor: int, names: list[str]):
                     kept.append(b" ".join(raw.split()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:-2],
+                    *batch.columns[:-1],
                     pa.array(n.astype(np.int64)),
                     pa.array(n_removed.astype(np.int64)),
                     pa.array(kept, pa.binary()).cast(pa.string()),
@@ -276,14 +258,11 @@ def remove_repeats(docs: DataFrame, places: DataFrame, window: int, anchor: int)
     document's anchors (``doc_id, places``), runs of ``anchor`` words."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in RESULTS])
     texts = plain_texts(docs).join(places, "doc_id")
-    around = texts.mapInArrow(_surroundings(window, anchor, bucket_count(docs)), PACKED)
-    marks = in_buckets(around).mapInArrow(
-        _judged(window - anchor + 1), "doc_id long, places array<int>, masks array<long>"
-    )
-    marks = by_document(marks, "places", "masks")
-    of, where, which = free_names(docs, "of", "places", "masks")
-    marks = marks.select(
-        F.col("doc_id").alias(of), F.col("places").alias(where), F.col("masks").alias(which)
+    around = texts.mapInArrow(_windows(window, anchor, bucket_count(docs)), PACKED)
+    marks = in_buckets(around).mapInArrow(_judged, "doc_id long, places array<int>")
+    of, where = free_names(docs, "of", "places")
+    marks = by_document(marks, "places").select(
+        F.col("doc_id").alias(of), F.col("places").alias(where)
     )
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
     joined = docs.join(marks, own == F.col(of), "left").drop(of)
@@ -291,6 +270,6 @@ def remove_repeats(docs: DataFrame, places: DataFrame, window: int, anchor: int)
     out = T.StructType(
         [*docs.schema.fields, *(T.StructField(c, k) for c, k in zip(RESULTS, kinds, strict=True))]
     )
-    return joined.mapInArrow(_removed(window, anchor, out.names), out)
+    return joined.mapInArrow(_removed(window, out.names), out)
 
 

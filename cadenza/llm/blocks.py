@@ -16,6 +16,7 @@ from cadenza.llm.anchors import (
     first_of_runs,
     grouped,
     in_buckets,
+    owners,
     packed_rows,
     plain_texts,
     remove_repeats,
@@ -57,11 +58,10 @@ def _probes(bucket_total: int):
             first = heads[read]
             yield packed_rows(bucket[read], False, ids[first], place[first], rest[read])
             again = np.flatnonzero(np.repeat(size > 1, size))
-            owner = np.repeat(bucket, size)[again]
-            read = np.argsort(order[again])
-            where = again[read]
+            where = again[np.argsort(order[again])]
+            owner = owners(hashes, text[order[where]], bucket_total)
             none = np.zeros(len(where), np.uint8)
-            yield packed_rows(owner[read], True, ids[where], place[where], none)
+            yield packed_rows(owner, True, ids[where], place[where], none)
 
     return run
 
@@ -91,7 +91,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     The blocks of ``BLOCK`` words at a document's multiples of ``BLOCK`` are the index; every
     rolling run of ``BLOCK`` words probes it. Two equal windows always share such a hit at the
     same place, as each window holds a whole block. Hits are extended to all windows around
-    them, which meet by their block and are compared as wholes.
+    them, which are compared as wholes.
 
     Windows are judged on the input, not on what is left. Null texts have no words and an empty
     ``kept``. Null doc_ids are one id before all others; rows that share a doc_id are one place,

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadenza.llm import (
+    anchors,
     blocks,
     cotraining,
     disclosure,
@@ -166,6 +167,30 @@ def test_operators_equal_brute_force(spark, monkeypatch, slice_bytes):
     assert {r.doc_id for r in bad} == contaminated(texts, items)
 
 
+@pytest.mark.parametrize("name, size, shared", [("substrings", 20, 15), ("passages", 50, 40)])
+def test_a_shared_phrase_is_spread_over_all_buckets(spark, monkeypatch, name, size, shared):
+    """Each document has the phrase between words of its own; no window repeats, but some do
+    in the two documents that are equal."""
+    local, phrase = random.Random(8), [f"p{i}" for i in range(shared)]
+    def own():
+        return [str(local.random()) for _ in range(size)]
+
+    texts = {i: " ".join([*own(), *phrase, *own()]) for i in range(600)}
+    texts[600] = texts[3]
+    seen, plain = [], anchors.in_buckets
+
+    def watched(packed):
+        entries = F.sum(F.octet_length("ids") / 8).alias("n")
+        seen.append([r.n for r in packed.groupBy("bucket").agg(entries).collect()])
+        return plain(packed)
+
+    monkeypatch.setattr(anchors, "in_buckets", watched)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in run(name, docs).collect()}
+    assert found == without_repeats(texts, size)
+    assert max(seen[-1]) < sum(seen[-1]) / 50
+
+
 def test_near_lines_go_and_distant_stay(spark):
     base = [f"a{i}" for i in range(10)]
     cases = [base, base[:4] + ["new"] + base[5:], base[1:], [*base, "end"], base[2:],
