@@ -189,10 +189,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("order"),
                 batch.column("quality"),
+                batch.column("digest"),
                 pa.array(list(text), pa.list_(pa.float64())),
                 pa.array(list(meta), pa.list_(pa.float64())),
             ],
-            ["order", "quality", "text", "meta"],
+            ["order", "quality", "digest", "text", "meta"],
         )
 
 
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     the hash of their id.
 
     Labels other than 0 and 1, null ids among them, are ignored; of several labels of one
-    document the least counts. Both samples are bounded, so they may be broadcast and fitted
+    document the least counts, of several rows the one with the least text hash. Both samples are bounded, so they may be broadcast and fitted
     in the driver.
     """
     given = labels.where("doc_id is not null and quality in (0, 1)")
@@ -217,11 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = known.unionByName(pool.withColumn("quality", F.lit(-1)))
     sample = stored(sample.withColumn("order", order), "sample")
     rows = docs.select(*_FACTS).join(F.broadcast(sample), "doc_id")
+    rows = rows.withColumn("digest", F.xxhash64("text"))
     found = rows.mapInArrow(
-        _features, "order long, quality int, text array<double>, meta array<double>"
+        _features,
+        "order long, quality int, digest long, text array<double>, meta array<double>",
     )
-    # There are more rows than that only where ids are repeated.
-    table = found.limit(MAX_LABELLED + MAX_POOL).toArrow().sort_by("order")
+    # Of rows that repeat an id the one with the least text hash.
+    one = found.groupBy("order", "quality").agg(F.min(F.struct("digest", "text", "meta")).alias("one"))
+    table = one.select("order", "quality", "one.text", "one.meta").toArrow().sort_by("order")
     if not table.num_rows:
         return Model(None, np.zeros(3))
     views = [np.array(table.column(c).to_pylist(), float) for c in ("text", "meta")]

@@ -283,6 +283,24 @@ def test_labels_of_one_kind_reject_nothing(spark, messy):
     assert set(scores) == {1.0}
 
 
+def test_a_repeated_id_pushes_no_labels_out(spark, monkeypatch):
+    monkeypatch.setattr(cotraining, "MAX_LABELLED", 60)
+    monkeypatch.setattr(cotraining, "MAX_POOL", 40)
+    rows = [(i, "good text here" if i % 2 else "BAD !!! 99", "en", "a", 9) for i in range(60)]
+    rows += [(500, f"copy {i}", "en", "a", 9) for i in range(3000)]
+    seen, plain = [], cotraining.co_train
+
+    def watched(text, meta, label, *more):
+        seen.append(label.tolist())
+        return plain(text, meta, label, *more)
+
+    monkeypatch.setattr(cotraining, "co_train", watched)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows[::-1], DOCS)
+    assert cotraining.fit(docs, labels).views
+    assert [seen[0].count(k) for k in (0, 1)] == [30, 30] and seen[0].count(-1) <= 1
+
+
 def test_views_teach_each_other():
     """The metadata view is given few labels that say anything; the text view's help it."""
     local = np.random.default_rng(2)
