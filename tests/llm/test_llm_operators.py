@@ -285,7 +285,7 @@ def test_labels_of_one_kind_reject_nothing(spark, messy):
 
 def test_a_repeated_id_pushes_no_labels_out(spark, monkeypatch):
     monkeypatch.setattr(cotraining, "MAX_LABELLED", 60)
-    monkeypatch.setattr(cotraining, "MAX_POOL", 40)
+    monkeypatch.setattr(cotraining, "MAX_POOL", 40, raising=False)
     rows = [(i, "good text here" if i % 2 else "BAD !!! 99", "en", "a", 9) for i in range(60)]
     rows += [(500, f"copy {i}", "en", "a", 9) for i in range(3000)]
     seen, plain = [], cotraining.co_train
@@ -301,6 +301,33 @@ def test_a_repeated_id_pushes_no_labels_out(spark, monkeypatch):
     assert [seen[0].count(k) for k in (0, 1)] == [30, 30] and seen[0].count(-1) <= 1
 
 
+def test_all_documents_without_a_label_take_part(spark, monkeypatch):
+    monkeypatch.setattr(cotraining, "MAX_POOL", 50, raising=False)
+    local = random.Random(9)
+    kinds = ("Plain words of a calm text here. ", "!!! 99 $$ WIN |||| 77 ")
+    rows = [(i, kinds[i % 2] * local.randint(1, 9), "en", f"s{(i % 2) ^ (i % 9 == 0)}", i % 50)
+            for i in range(900)]
+    seen, plain = [], cotraining.co_train
+
+    def watched(text, meta, label, *pool):
+        seen.append(pool[0].count if pool else (label < 0).sum())
+        return plain(text, meta, label, *pool)
+
+    monkeypatch.setattr(cotraining, "co_train", watched)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    model = cotraining.fit(docs, labels)
+    assert seen == [700]
+    scored = cotraining.score(docs, model).collect()
+    assert all((r.quality_score >= 0.5) == (r.doc_id % 2 == 0) for r in scored)
+    # What the pool stores gives both views back.
+    table = pa.table({c: [r[i] for r in rows] for i, c in enumerate(("d", "text", "lang", "source", "n"))})
+    text = cotraining.text_view(table["text"].combine_chunks())
+    meta = cotraining.meta_view(*(table[c].combine_chunks() for c in ("lang", "source", "n")))
+    assert (cotraining.meta_of(cotraining.cells_of(meta)) == meta).all()
+    assert (cotraining.widened(text[:, :14]) == text).all()
+
+
 def test_views_teach_each_other():
     """The metadata view is given few labels that say anything; the text view's help it."""
     local = np.random.default_rng(2)
