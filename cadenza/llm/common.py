@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.session import scratch_path
+from cadenza.session import remove_path, scratch_path
+
+_scopes: list[list[str]] = []
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,16 +20,38 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage, so a lost executor costs only the tasks it ran. The files go when
-    the session's JVM ends.
+    the session's JVM ends, or earlier where a ``recorded`` block has listed them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
     df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that ``stored`` writes inside the block, for ``discard`` when they have been
+    read for the last time."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.pop()
+        if _scopes:
+            _scopes[-1].extend(paths)
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch that nothing will read again."""
+    for path in paths:
+        remove_path(spark, path)
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """Helper column names that no column of ``df`` has, for any case of letters."""
     taken = {name.lower() for name in df.columns}

@@ -156,6 +156,123 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+
+
+def _lloyd() -> str:
+    """Four rounds and a last assignment, written out."""
+    ctes = [
+        """kept AS (
+    SELECT vec_id, label,
+        list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+part AS (
+    SELECT vec_id, p, x[p * len(x) // 4 + 1:(p + 1) * len(x) // 4] AS x
+    FROM kept, range(4) r(p)),
+book0 AS (
+    SELECT p, (row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1) AS e, x AS c
+    FROM part WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256))"""
+    ]
+    for i in range(5):
+        ctes.append(
+            f"""near{i} AS (
+    SELECT vec_id, p, x, min({{'d': d, 'e': e}}) AS b
+    FROM (SELECT vec_id, p, x, e,
+            list_sum(list_transform(x, lambda v, k: (v - c[k]) * (v - c[k])))::BIGINT AS d
+        FROM part JOIN book{i} USING (p))
+    GROUP BY ALL)"""
+        )
+        if i < 4:
+            ctes.append(
+                f"""mean{i} AS (
+    SELECT p, e, list(m ORDER BY k) AS c
+    FROM (SELECT p, e, k, (s - ((s % n) + n) % n) // n AS m
+        FROM (SELECT p, b.e AS e, k, sum(x[k])::BIGINT AS s, count(*) AS n
+            FROM near{i}, LATERAL unnest(range(1, len(x) + 1)) r(k) GROUP BY ALL))
+    GROUP BY ALL),
+book{i + 1} AS (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{i} b LEFT JOIN mean{i} m USING (p, e))"""
+            )
+    return (
+        "WITH "
+        + ",\n".join(ctes)
+        + """,
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', b.e::INTEGER), '' ORDER BY p) AS code,
+        sum(b.d)::BIGINT AS error
+    FROM near4 GROUP BY vec_id),
+flat AS (
+    SELECT string_agg(c[k]::VARCHAR, ',' ORDER BY p, e, k) AS every
+    FROM book4, LATERAL unnest(range(1, len(c) + 1)) r(k))
+SELECT vec_id, code, error,
+    sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, sha256(every) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), flat
+"""
+    )
+
+
+OP12 = _lloyd()
+
+
+def _part(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_part(v) for v in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b:
+        list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, z:
+            CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END))"""
+
+_RUNS = """list_transform(range(0, len(nodes), 16),
+        lambda i: sha256(array_to_string(nodes[i + 1:i + 16], '')))"""
+
+OP13 = f"""
+WITH RECURSIVE leaf AS (
+    SELECT doc_id, source, {_leaf('text')} AS leaf,
+        CASE WHEN xor({_CRC}, 4294967295) % 5 = 0 THEN {_leaf(
+            "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+        ELSE {_leaf('text')} END AS shown,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place
+    FROM documents),
+up AS (
+    SELECT source, 0 AS lvl, list(leaf ORDER BY place) AS nodes FROM leaf GROUP BY source
+    UNION ALL
+    SELECT source, lvl + 1, {_RUNS} FROM up WHERE len(nodes) > 1),
+sub AS (
+    SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+    FROM up WHERE len(nodes) = 1),
+over AS (
+    SELECT 0 AS lvl, list(subroot ORDER BY place) AS nodes FROM sub
+    UNION ALL
+    SELECT lvl + 1, {_RUNS} FROM over WHERE len(nodes) > 1),
+way AS (
+    SELECT doc_id, lvl, nodes, place // (16 ** lvl)::BIGINT AS i
+    FROM leaf JOIN up ON leaf.source IS NOT DISTINCT FROM up.source WHERE len(nodes) > 1
+    UNION ALL
+    SELECT doc_id, 100 + lvl, nodes, sub.place // (16 ** lvl)::BIGINT
+    FROM leaf JOIN sub ON leaf.source IS NOT DISTINCT FROM sub.source, over WHERE len(nodes) > 1),
+step AS (
+    SELECT doc_id, lvl, array_to_string(nodes[i // 16 * 16 + 1:i], '') AS b,
+        array_to_string(nodes[i + 2:i // 16 * 16 + 16], '') AS a FROM way),
+proof AS (
+    SELECT doc_id, string_agg(b || a, '' ORDER BY lvl) AS proof,
+        list(b || '|' || a ORDER BY lvl) AS steps FROM step GROUP BY doc_id),
+folded AS (
+    SELECT leaf.*, coalesce(proof, '') AS proof, list_reduce(
+        list_prepend(shown, coalesce(steps, [])),
+        lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root
+    FROM leaf LEFT JOIN proof USING (doc_id)),
+top AS (SELECT nodes[1] AS root FROM over WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root,
+    folded_root = root AS verified
+FROM folded JOIN sub ON folded.source IS NOT DISTINCT FROM sub.source, top
+"""
+
 ORACLE_SQL = {
     "op1_pfair_mixing": OP1,
     "op5_suffix_passage_dedup": OP5,
@@ -164,4 +281,6 @@ ORACLE_SQL = {
     "op8_reply_chat": OP8,
     "op9_inverted_decontamination": OP9,
     "op10_deletion_line_dedup": OP10,
+    "op12_active_lloyd_codes": OP12,
+    "op13_merkle_manifest": OP13,
 }

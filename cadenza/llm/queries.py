@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import blocks, cotraining, disclosure, inverted, lines, mixing, replies, setsketch, suffixes, topk
+from cadenza.llm import (
+    blocks,
+    codes,
+    cotraining,
+    disclosure,
+    inverted,
+    lines,
+    merkle,
+    mixing,
+    replies,
+    setsketch,
+    suffixes,
+    topk,
+)
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -110,6 +126,37 @@ def op10_deletion_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_active_lloyd_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors, their errors, and the codebooks' digest."""
+    coded, books = codes.encode(table(spark, folder, "embeddings"))
+    digest = hashlib.sha256(",".join(str(x) for x in books.ravel().tolist()).encode()).hexdigest()
+    pairs = F.transform("code", lambda c: F.lower(F.lpad(F.hex(c.cast("long")), 2, "0")))
+    error = F.aggregate("away", F.lit(0).cast("long"), lambda a, b: a + b)
+    rows = coded.select("vec_id", "label", F.array_join(pairs, "").alias("code"), error.alias("error"))
+    by_label = rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    joined = rows.join(by_label, F.col("label").eqNullSafe(F.col("of")))
+    return joined.select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, checked against a copy in which some were changed."""
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(tampered, lowered).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, folder, "documents"), shown)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_co_training_quality": op2_co_training_quality,
@@ -121,4 +168,6 @@ QUERIES = {
     "op8_reply_chat": op8_reply_chat,
     "op9_inverted_decontamination": op9_inverted_decontamination,
     "op10_deletion_line_dedup": op10_deletion_line_dedup,
+    "op12_active_lloyd_codes": op12_active_lloyd_codes,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
