@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import cotraining, inverted, lines, mixing, setsketch
-from cadenza.llm.common import stored, table
+from cadenza.llm.common import discard, recorded, stored, table
 from cadenza.llm.queries import MIX_REST, MIX_WEIGHTS
 
 SIMILAR = 80  # per cent
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_left: list[str] = []  # scratch of the stage before
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage reads what the one before has written, so that one's scratch is deleted when it
+    begins. A stage's result must be written before the next stage is called."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _left)
+        _left.clear()
+        with recorded() as paths:
+            found = function(spark, docs, sf_dir)
+        _left.extend(paths)
+        return found
+
+    return run
+
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier does not reject."""
     model = cotraining.fit(docs, table(spark, sf_dir, "labels"))
@@ -19,6 +43,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("quality_score") >= cotraining.KEEP_FROM).select(*docs.columns)
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without repeated lines; those of which no line is left go."""
     found = lines.dedup_lines(docs).where("n_lines = 0 or n_removed < n_lines")
@@ -27,6 +52,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*docs.columns)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies; rows without an id stay."""
     groups = setsketch.near_duplicates(docs, SIMILAR)
@@ -35,12 +61,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no notable part of the benchmark."""
     found = inverted.contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where("not contaminated").select(*docs.columns)
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix."""
     return mixing.mix_sources(docs, MIX_WEIGHTS, MIX_REST)
@@ -60,7 +88,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other, each on what the one before has written."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with recorded() as written:
+            docs = stored(stage(spark, docs, sf_dir), name)
+        discard(spark, before)
+        before = written
     return STAGES[-1][1](spark, docs, sf_dir)
