@@ -21,6 +21,7 @@ from cadenza.llm import (
     setsketch,
     suffixes,
     topk,
+    toxicity,
 )
 from cadenza.llm.common import table
 from cadenza.llm.oracle import ORACLE_SQL as ORACLE_SQL
@@ -126,6 +127,20 @@ def op10_deletion_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of all documents, learned from two thirds of the labels."""
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    learned = table(spark, folder, "labels").where(remainder != 1)
+    docs = table(spark, folder, "documents")
+    found = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, learned))
+    return found.select(
+        "doc_id",
+        F.coalesce(remainder == 1, F.lit(False)).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op12_active_lloyd_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all vectors, their errors, and the codebooks' digest."""
     coded, books = codes.encode(table(spark, folder, "embeddings"))
@@ -168,6 +183,7 @@ QUERIES = {
     "op8_reply_chat": op8_reply_chat,
     "op9_inverted_decontamination": op9_inverted_decontamination,
     "op10_deletion_line_dedup": op10_deletion_line_dedup,
+    "op11_string_kernel_toxicity": op11_string_kernel_toxicity,
     "op12_active_lloyd_codes": op12_active_lloyd_codes,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -4,8 +4,9 @@ The kernel counts the common subsequences of ``ORDER`` characters of two strings
 ``gaps`` skipped characters weighs ``DECAY ** gaps``, up to ``SPAN`` characters in all, so an insult
 with inserted characters still shares most of its subsequences. Its strings are the windows of a
 sentence: words with their edges, single letters that stand next to each other taken together,
-and overlapping pieces of long words. A sentence is as toxic as its worst window, a document as
-its worst sentence (multiple-instance learning).
+and overlapping pieces of long words. The machine learns on windows (multiple-instance learning:
+which ones make a toxic text toxic is part of what is learned); a text is judged by its worst
+windows and how many windows lie on the toxic side.
 
 The machine is linear in the landmarks' kernel values, and those are linear in subsequences,
 so a fitted model is one weight per subsequence, and a text is scored in one pass.
@@ -14,7 +15,7 @@ so a fitted model is one weight per subsequence, and a text is scored in one pas
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ from cadenza.llm.words import bytes_of, slices
 
 ORDER, SPAN, DECAY = 3, 5, 0.5
 MAX_LABELLED = 20_000  # labelled documents of the fit
-LANDMARKS = (192, 64)  # strings of toxic and of clean sentences
+LANDMARKS = (256, 128)  # strings of toxic and of clean sentences
+WITNESSES = 3  # windows of a toxic text that speak for it
 CLEAN_WINDOWS = 4_000  # windows of clean sentences per round, at random, and the worst so far
 ROUNDS = 4
 PENALTY = 1e-3
@@ -150,17 +152,14 @@ class Windows:
             for low, high in zip(self.low[which].tolist(), self.high[which].tolist(), strict=True)
         ]
 
-    def worst(self, values: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-        """The greatest value of each text, and the first window that has it (-1 without
-        windows)."""
-        best, window = np.full(texts, -np.inf), np.full(texts, -1)
-        if len(values):
-            heads = np.flatnonzero(first_of_runs(self.text))
-            best[self.text[heads]] = np.maximum.reduceat(values, heads)
-            top = np.flatnonzero(values == best[self.text])
-            top = top[first_of_runs(self.text[top])]
-            window[self.text[top]] = top
-        return best, window
+    def worst(self, values: np.ndarray, above: float) -> tuple[np.ndarray, np.ndarray]:
+        """The windows of each text with a value over ``above``, the worst first, and the place
+        of each among those of its text."""
+        found = np.flatnonzero(values > above)
+        order = found[np.lexsort((found, -values[found], self.text[found]))]
+        heads = np.flatnonzero(first_of_runs(self.text[order])) if len(order) else order
+        size = np.diff(np.append(heads, len(order)))
+        return order, np.arange(len(order)) - np.repeat(heads, size)
 
 
 def profiles(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,29 +230,50 @@ class Model:
 
     weights: np.ndarray
     constant: float
-    slope: float = 1.0
-    offset: float = 0.0
-
-    def probability(self, value: np.ndarray) -> np.ndarray:
-        z = np.clip(self.slope * value + self.offset, -35, 35)
-        return 1 / (1 + np.exp(-z))
-
-
-def calibrated(values: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the probability of a value (Platt's, with his smoothed targets)."""
+    scale: np.ndarray
+
+    def values(self, windows: Windows) -> np.ndarray:
+        return windows.values(self.weights) + self.constant
+
+    def probability(self, texts: pa.Array) -> np.ndarray:
+        z = text_facts(Windows(texts), self, len(texts)) @ self.scale[:-1] + self.scale[-1]
+        return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+
+
+def text_facts(windows: Windows, model: Model, texts: int) -> np.ndarray:
+    """The values of the ``WITNESSES`` worst windows of each text, from -1 to 1, and how many
+    windows lie on the toxic side, in all and by the text's size, as logarithms."""
+    values = model.values(windows)
+    facts = np.zeros((texts, WITNESSES + 2))
+    facts[:, :WITNESSES] = -1.0
+    order, place = windows.worst(values, -1.0)
+    few = place < WITNESSES
+    facts[windows.text[order[few]], place[few]] = np.minimum(values[order[few]], 1.0)
+    size = np.bincount(windows.text, minlength=texts)
+    toxic = np.bincount(windows.text[values > 0], minlength=texts)
+    facts[:, -2] = np.log1p(toxic)
+    facts[:, -1] = np.log1p(toxic * 100 / np.maximum(size, 1))
+    return facts
+
+
+def calibrated(facts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Weights that turn the facts of texts into a probability: ridge logistic regression with
+    smoothed targets, the constant last."""
     n, m = int(toxic.sum()), int((~toxic).sum())
     target = np.where(toxic, (n + 1) / (n + 2), 1 / (m + 2))
-    x = np.column_stack([values, np.ones(len(values))])
-    w = np.array([1.0, np.log((n + 1) / (m + 1))])
+    x = np.column_stack([facts, np.ones(len(facts))])
+    ridge = np.full(x.shape[1], 0.1)
+    ridge[-1] = 1e-6
+    w = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        slope = x.T @ (p - target) + 1e-6 * w
-        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-6 * np.eye(2)
+        slope = x.T @ (p - target) + ridge * w
+        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(curve, slope)
-        w = w - step * min(1.0, 2 / max(np.abs(step).max(), 1e-12))
+        w = w - step * min(1.0, 5 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
             break
-    return max(float(w[0]), 0.0), float(w[1])
+    return w
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -346,68 +366,73 @@ def _first_values(windows: Windows, runs: np.ndarray, chi: np.ndarray) -> np.nda
 
 
 def _witnesses(valued):
-    """The worst window of each text."""
+    """The worst windows of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             windows = Windows(batch.column("text"))
-            value, window = windows.worst(valued(windows), len(batch))
-            there = np.flatnonzero(window >= 0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(there)),
-                    pa.array(value[there]),
-                    pa.array(windows.strings(window[there]), pa.binary()),
-                ],
-                ["doc_id", "value", "window"],
-            )
+            values = valued(windows)
+            order, place = windows.worst(values, 0.0)
+            strings = windows.strings(order[place < WITNESSES])
+            yield pa.RecordBatch.from_arrays([pa.array(strings, pa.binary())], ["window"])
 
     return run
 
 
 def _clean_windows(valued, salt: int):
-    """Of the windows of a slice, the worst, and some drawn by what they hold."""
+    """Of the distinct windows of a slice, the worst, and some drawn by what they hold."""
     table = np.random.default_rng(salt).random(_CELLS) * 1e6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "sentence"):
             windows = Windows(batch.column("sentence"))
-            value, draw = valued(windows), windows.values(table) % 1
+            value, draw = valued(windows), np.round(windows.values(table) % 1, 3)
+            order = np.lexsort((draw, np.round(value, 9)))
+            heads = np.flatnonzero(first_of_runs(np.round(value, 9)[order], draw[order]))
+            count = np.diff(np.append(heads, len(order)))
+            order = order[heads]
+            value, draw = value[order], draw[order]
             size = min(CLEAN_WINDOWS, len(value))
             worst = np.argsort(-value, kind="stable")[:size]
             drawn = np.argsort(draw, kind="stable")[:size]
             picked = np.union1d(worst, drawn)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(windows.strings(picked), pa.binary()),
+                    pa.array(windows.strings(order[picked]), pa.binary()),
                     pa.array(value[picked]),
                     pa.array(draw[picked]),
+                    pa.array(count[picked]),
                 ],
-                ["window", "value", "draw"],
+                ["window", "value", "draw", "n"],
             )
 
     return run
 
 
-def _witness_rows(texts: DataFrame, valued) -> list[bytes]:
-    """The witness of each toxic text that has one: at most ``MAX_LABELLED`` rows."""
+def _witness_rows(texts: DataFrame, valued) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct witnesses of the toxic texts, and how many texts name each: at most
+    ``WITNESSES`` rows for each of ``MAX_LABELLED`` texts."""
     found = texts.where("toxic = 1").select("doc_id", "text").mapInArrow(
-        _witnesses(valued), "doc_id long, value double, window binary"
+        _witnesses(valued), "window binary"
     )
-    rows = found.where("value > 0").select("doc_id", "window").collect()
-    return [bytes(r["window"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+    rows = sorted((bytes(r[0]), r[1]) for r in found.groupBy("window").count().collect())
+    return np.array([r[0] for r in rows], dtype=object), np.array([r[1] for r in rows], float)
 
 
-def _clean_rows(sentences: DataFrame, valued, salt: int) -> list[bytes]:
-    """At most twice ``CLEAN_WINDOWS`` windows of clean sentences."""
+def _clean_rows(sentences: DataFrame, valued, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most twice ``CLEAN_WINDOWS`` windows of clean sentences, and how often each was met."""
     found = sentences.where("toxic = 0").select("sentence").mapInArrow(
-        _clean_windows(valued, salt), "window binary, value double, draw double"
+        _clean_windows(valued, salt), "window binary, value double, draw double, n long"
+    )
+    distinct = found.groupBy("window").agg(
+        F.max("value").alias("value"), F.min("draw").alias("draw"), F.sum("n").alias("n")
     )
-    distinct = found.groupBy("window").agg(F.max("value").alias("value"), F.min("draw").alias("draw"))
     distinct = stored(distinct, "clean")
     worst = distinct.orderBy(F.desc("value"), "window").limit(CLEAN_WINDOWS)
     drawn = distinct.orderBy("draw", "window").limit(CLEAN_WINDOWS)
-    return sorted({bytes(r["window"]) for r in worst.union(drawn).select("window").collect()})
+    rows = dict((bytes(r[0]), r[1]) for r in worst.union(drawn).select("window", "n").collect())
+    strings = sorted(rows)
+    return np.array(strings, dtype=object), np.array([rows[x] for x in strings], float)
 
 
 def _spread(strings: np.ndarray, often: np.ndarray, size: int) -> list[bytes]:
@@ -423,10 +448,10 @@ def _spread(strings: np.ndarray, often: np.ndarray, size: int) -> list[bytes]:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of ``labels.toxic`` from at most ``MAX_LABELLED`` labelled documents.
 
-    Each toxic document names a witness, the window of its toxic sentences that speaks loudest:
-    at first by runs of characters that toxic sentences hold significantly more often, then by the
-    machine itself. The machine separates witnesses from windows of clean sentences, those it
-    gets most wrong among them. The probabilities are scaled on every fifth document, which the
+    Each toxic document names witnesses, the windows that speak loudest: at first by runs of
+    characters that toxic sentences hold significantly more often, then by the machine itself. The
+    machine separates witnesses from windows of clean sentences, those it gets most wrong among
+    them. The probabilities are scaled on every fifth document, which the
     machine has not seen, where these have ten of each label; else on all.
 
     Labels other than 0 and 1, null labels and null ids count as none. A document labelled both
@@ -446,26 +471,37 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def valued(windows: Windows) -> np.ndarray:
         return _first_values(windows, runs, chi)
 
-    witnesses = _witness_rows(seen, valued) if len(runs) else []
-    for number in range(ROUNDS if witnesses else 0):
-        clean = _clean_rows(sentences, valued, number)
-        spoken, often = np.unique(np.array(witnesses, dtype=object), return_counts=True)
-        # What clean sentences hold too is no witness.
-        alone = ~np.isin(spoken, np.array(clean, dtype=object))
-        if not alone.any():
+    share = _odds(seen)
+    if len(runs):
+        spoken, often = _witness_rows(seen, valued)
+    for number in range(ROUNDS if len(runs) and len(spoken) else 0):
+        clean, met = _clean_rows(sentences, valued, number)
+        # A witness that clean texts name as readily is none.
+        there = dict(zip(clean, met, strict=True))
+        telling = often > share * np.array([there.get(x, 0.0) for x in spoken])
+        if not telling.any():
             break
-        spoken, often = spoken[alone], often[alone]
+        spoken, often = spoken[telling], often[telling]
         marks = _spread(spoken, often, LANDMARKS[0])
-        marks += _spread(np.array(clean, dtype=object), np.ones(len(clean)), LANDMARKS[1])
+        marks += _spread(clean, met, LANDMARKS[1])
         x, known, fold = landmark_features([*spoken, *clean], marks)
         toxic = np.arange(len(x)) < len(spoken)
-        counts = np.concatenate([np.sqrt(often), np.ones(len(clean))])
+        counts = np.sqrt(np.concatenate([often, met]))
         machine, constant = fit_machine(x, toxic, counts)
         weights = np.zeros(_CELLS)
         weights[known] = fold @ machine
         valued = _valuer(weights, constant)
-        witnesses = _witness_rows(seen, valued) or witnesses
-    return _scaled(Model(weights, constant), texts.where(fifth) if held else texts)
+        named = _witness_rows(seen, valued)
+        if not len(named[0]):
+            break
+        spoken, often = named
+    return _scaled(Model(weights, constant, np.zeros(0)), texts.where(fifth) if held else texts)
+
+
+def _odds(texts: DataFrame) -> float:
+    """Toxic texts for each clean one."""
+    sums = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    return sums.get(1, 0) / max(sums.get(0, 0), 1)
 
 
 def _valuer(weights: np.ndarray, constant: float):
@@ -480,33 +516,27 @@ def _scaled(model: Model, texts: DataFrame) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            values = pa.array(worst_values(batch.column("text"), model))
-            kept = [batch.column("doc_id"), batch.column("toxic"), values]
-            yield pa.RecordBatch.from_arrays(kept, ["doc_id", "toxic", "value"])
+            facts = text_facts(Windows(batch.column("text")), model, len(batch))
+            kept = [batch.column("doc_id"), batch.column("toxic"), pa.array(list(facts))]
+            yield pa.RecordBatch.from_arrays(kept, ["doc_id", "toxic", "facts"])
 
-    rows = texts.mapInArrow(run, "doc_id long, toxic int, value double").collect()
-    rows = sorted((r["doc_id"], r["toxic"], r["value"]) for r in rows)
+    rows = texts.mapInArrow(run, "doc_id long, toxic int, facts array<double>").collect()
+    rows = sorted((r["doc_id"], r["toxic"], r["facts"]) for r in rows)
     toxic = np.array([r[1] > 0 for r in rows], bool)
     if not toxic.any() or toxic.all():
         share = (toxic.sum() + 1) / (len(toxic) + 2)
-        return Model(model.weights, model.constant, 0.0, float(np.log(share / (1 - share))))
-    slope, offset = calibrated(np.array([r[2] for r in rows]), toxic)
-    return Model(model.weights, model.constant, slope, offset)
-
-
-def worst_values(texts: pa.Array, model: Model) -> np.ndarray:
-    """The machine's value of the worst window of each text; its constant without windows."""
-    windows = Windows(texts)
-    value, _ = windows.worst(windows.values(model.weights), len(texts))
-    return np.where(np.isfinite(value), value, 0.0) + model.constant
+        scale = np.array([0.0] * (WITNESSES + 2) + [np.log(share / (1 - share))])
+    else:
+        scale = calibrated(np.array([r[2] for r in rows]), toxic)
+    return replace(model, scale=scale)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All rows and columns of ``docs`` with ``toxicity``, the probability from 0 to 1 (six
     decimals) that the row's text is toxic.
 
-    Only the text counts. Null, empty and wordless texts get what a window without any known
-    subsequence gets. Whole texts of any length are read. An empty table gives an empty
+    Only the text counts. Null, empty and wordless texts get what a text without any window over
+    -1 gets. Whole texts of any length are read. An empty table gives an empty
     result. An input column named ``toxicity`` is replaced.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() == RESULT])
@@ -515,7 +545,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            chance = model.probability(worst_values(batch.column("text"), model))
+            chance = model.probability(batch.column("text"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.round(chance, 6))], names)
 
     return docs.mapInArrow(run, out)
