@@ -271,8 +271,12 @@ pos AS (
          user_id % 25 AS nat,
          CASE event_type WHEN 'error' THEN '' WHEN 'signup' THEN NULL
            ELSE (user_id % 25 + 20) || CASE event_type WHEN 'click' THEN '.10' WHEN 'view' THEN '.20'
-                ELSE '.30' END END AS x,
-         CASE WHEN event_type = 'error' THEN '' ELSE (user_id % 25 + 100) || '.25' END AS y
+                ELSE '.30' END || CASE user_id % 25 % 6 WHEN 1 THEN '00006' WHEN 2 THEN '7'
+                WHEN 4 THEN '15' WHEN 5 THEN '1' ELSE '' END END AS x,
+         CASE WHEN event_type = 'error' THEN ''
+           ELSE (user_id % 25 + 100) || CASE user_id % 25 % 6 WHEN 3 THEN '.2503'
+                WHEN 1 THEN '.2499996' ELSE '.25' END
+           END AS y
   FROM events),
 best AS (
   SELECT mid, nat, x, y, cnt FROM (
@@ -293,9 +297,11 @@ _NO_FIELDS = ", ".join(f"'' AS {name}" for name in _BLANKS)
 _LOCATIONS = _POSITIONS + f""",
 fresh AS (
   SELECT CAST(mid AS INTEGER) AS MID, x AS X, y AS Y, CAST(cnt AS INTEGER) AS CNT,
-         '1 Main Street, ' || n_name AS ADDR, r_name AS PRVC, n_name AS CTY,
+         CASE WHEN nat % 6 = 4 THEN '2 Side Street, ' ELSE '1 Main Street, ' END || n_name AS ADDR, r_name AS PRVC, n_name AS CTY,
          CAST(n_nationkey AS VARCHAR) AS CTY_CD, n_name || ' district' AS DISTRICT,
-         n_name || ' quarter' AS NB_NM, 'Main Street' AS STREET, '1' AS STREET_NB, {_NO_FIELDS}
+         n_name || ' quarter' AS NB_NM,
+         CASE WHEN nat % 6 = 4 THEN 'Side Street' ELSE 'Main Street' END AS STREET,
+         CASE WHEN nat % 6 = 4 THEN '2' ELSE '1' END AS STREET_NB, {_NO_FIELDS}
   FROM best JOIN nation ON nat = n_nationkey JOIN region ON n_regionkey = r_regionkey
   WHERE nat < 23),
 snapshot AS (
@@ -377,6 +383,16 @@ SELECT * FROM (
   FROM found) WHERE rank <= 30
 """
 
+_ARRIVALS = _MESSAGES + """, timed AS (
+  SELECT CASE WHEN k <> 99 THEN mid END AS mid, uid, songname,
+         CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS sec FROM msg),
+parts AS (
+  SELECT mid, uid, songname,
+         greatest(0, least(2, (sec + (sec * 7919) % 6000 - 3000) // 864000)) AS part FROM timed
+  UNION ALL SELECT 'end', 'end', 'end', 3),
+arrived AS (SELECT * FROM parts JOIN range(4) r(shown) ON part IN (shown, shown - 1))
+"""
+
 _MINUTE, _WIDE, _HALF_HOUR = 60, 6 * 3600, 1800
 
 _GOOD_PLAYS = "sid % 10 NOT IN (0, 1, 2, 3)"
@@ -424,6 +440,7 @@ ORACLE_SQL: dict[str, str] = {
                count(*) AS n_songs FROM s GROUP BY ALL""",
     "time_normalise": f"WITH {_PART} SELECT nbr AS NBR, {_POST_TIME} AS POST_TIME FROM p",
     "song_features": f"WITH {_FEATURES} SELECT * FROM ftur",
+    "song_features_first_load": f"WITH {_FEATURES} SELECT * FROM ftur",
     "song_heat_rank": _SONG_INDEX + _ranked("src", "NBR, NAME", None),
     "song_heat_top": _SONG_INDEX + _ranked("src", "NBR, NAME", 30),
     "singer_heat_rank": _SINGER_INDEX + _ranked("src", "SINGER1ID, SINGER1", None),
@@ -479,14 +496,16 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) AS times", "songname", "true", _WIDE, _HALF_HOUR, _TOP_SONGS
     ),
     "stream_late": f"""
-        WITH {_MESSAGES}, timed AS (
-          SELECT mid, uid, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS sec FROM msg WHERE k <> 99),
-        parts AS (
-          SELECT mid, uid, greatest(0, least(2, (sec + (sec * 7919) % 6000 - 3000) // 864000)) AS part
-          FROM timed
-          UNION ALL SELECT 'end', 'end', 3)
+        WITH {_ARRIVALS}
         SELECT mid, count(*) AS pv, count(DISTINCT uid) AS uv, CAST(shown AS INTEGER) AS shown
-        FROM parts JOIN range(4) r(shown) ON part IN (shown, shown - 1) GROUP BY mid, shown""",
+        FROM arrived WHERE mid IS NOT NULL GROUP BY mid, shown""",
+    "stream_songs_arrival": f"""
+        WITH {_ARRIVALS}, found AS (
+          SELECT songname, count(*) AS times, CAST(shown AS INTEGER) AS shown
+          FROM arrived GROUP BY songname, shown)
+        SELECT *, row_number() OVER (PARTITION BY shown ORDER BY times DESC, songname) AS rank
+        FROM found QUALIFY rank <= 30""",
+    "stream_catch_up": _stream("count(*) AS pv", "mid", "k <> 99", _WIDE, _HALF_HOUR),
     "stream_resume": _stream("count(*) AS pv", "mid", "k <> 99", _WIDE, _HALF_HOUR),
     "stream_last_window": _stream(
         "count(*) AS pv", "mid", "k <> 99", _WIDE, _HALF_HOUR,

@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza import jobs
 from cadenza.functions import address, catalog
 from cadenza.functions.dates import normalise_time, shift_day
 from cadenza.operators.snapshot import carry_forward
@@ -20,6 +22,7 @@ from cadenza.sources import messages, samples
 from cadenza.sources.client_log import read_lines
 from cadenza.sources.samples import RUN_DAY as DAY
 from cadenza.sources.tables import Warehouse, on_day
+from cadenza.sources.versions import Files
 from cadenza.streaming import arrivals, counts, runs
 
 CATALOG = "cadenza_checks"
@@ -31,6 +34,28 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn("data_dt", F.lit(DAY))
 
 
+# Source tables by day, and what fills them.
+DATED = {
+    jobs.PLAYS: samples.plays,
+    jobs.CONSUMPTION: samples.consumption,
+    jobs.LOGINS: samples.logins,
+}
+
+
+@lru_cache(maxsize=None)
+def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(spark, root=scratch_path(spark, "sources"))
+
+
+def _days_of(spark: SparkSession, folder: str, table: str) -> Warehouse:
+    """The warehouse of a session's queries with a source table in its day folders, which the
+    first query that asks for it fills."""
+    store = _warehouse(spark, folder)
+    if not store.exists(table):
+        store.load_days(DATED[table](spark, folder), table)
+    return store
+
+
 def _records(spark: SparkSession, folder: str) -> DataFrame:
     return client_log.parse_records(samples.log_lines(spark, folder))
 
@@ -60,8 +85,10 @@ def partition_store(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalog_store(spark: SparkSession, folder: str) -> DataFrame:
     """The same in the session's catalog."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {CATALOG}")
-    store, name = Warehouse(spark, database=CATALOG), f"plays_{uuid.uuid4().hex}"
+    place = scratch_path(spark, "catalog")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {CATALOG} LOCATION '{place}'")
+    store = Warehouse(spark, database=CATALOG, external=place)
+    name = f"plays_{uuid.uuid4().hex}"
     plays = samples.plays(spark, folder)
     store.load_days(plays, name)
     store.replace_day(on_day(plays, DAY), name, DAY)
@@ -116,10 +143,23 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return songs.song_features(plays, dimension, history, DAY)
 
 
-def song_features(spark: SparkSession, folder: str) -> DataFrame:
+def song_features_first_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The features from the plays of the whole period."""
     return _features(spark, folder)
 
 
+def song_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The features from the day's plays and what was kept of the days before."""
+    store = _days_of(spark, folder, jobs.PLAYS)
+    first, before = shift_day(DAY, -songs.FAR_DAYS), shift_day(DAY, -1)
+    jobs.keep_song_days(store, DAY)
+    dimension = songs.song_dimension(samples.song_catalog(spark, folder))
+    plays = store.read_days(jobs.PLAYS, first, before)
+    history = songs.daily_counts(plays, dimension, first, before)
+    gaps = store.read_days(jobs.SONG_GAPS, first, DAY)
+    return songs.song_features_from(gaps, dimension, history, DAY)
+
+
 def _rounded(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("RSI", F.round("RSI", 6))
 
@@ -141,22 +181,20 @@ def singer_heat_top(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger_plan.ledger(samples.consumption(spark, folder), DAY)
+    store = _days_of(spark, folder, jobs.CONSUMPTION)
+    return ledger_plan.ledger(store.read_days(jobs.CONSUMPTION, DAY), DAY)
 
 
 def active_users(spark: SparkSession, folder: str) -> DataFrame:
-    return users.active_users(
-        samples.channel_tables(spark, folder), samples.logins(spark, folder), DAY
-    )
+    logins = _days_of(spark, folder, jobs.LOGINS).read_days(jobs.LOGINS, DAY)
+    return users.active_users(samples.channel_tables(spark, folder), logins, DAY)
 
 
 def active_7d(spark: SparkSession, folder: str) -> DataFrame:
-    week = users.active_users_by_day(
-        samples.channel_tables(spark, folder),
-        samples.logins(spark, folder),
-        shift_day(DAY, -7),
-        DAY,
-    )
+    first = shift_day(DAY, -7)
+    logins = _days_of(spark, folder, jobs.LOGINS).read_days(jobs.LOGINS, first, DAY)
+    channels = samples.channel_tables(spark, folder)
+    week = users.active_users_by_day(channels, logins, first, DAY)
     return users.week_activity(week, DAY)
 
 
@@ -209,16 +247,27 @@ def region_totals(spark: SparkSession, folder: str) -> DataFrame:
     return revenue.region_totals(_dated(machine_stat(spark, folder)), DAY)
 
 
-def _in_batches(session: SparkSession, folder: str, log: str, then=None) -> None:
-    """The message log as files in the order of arrival: ``samples.BATCHES`` of the messages,
-    then the end message alone. ``then`` runs when the first file is there."""
+def _in_batches(
+    session: SparkSession, folder: str, log: str, then=None, ending: bool = True
+) -> str:
+    """The message log in the order of arrival: ``samples.BATCHES`` of the messages, then the
+    end message alone. ``then`` runs when the first batch is there. Returns the files of a
+    batch, one per core, so that no task writes or reads a batch alone."""
+    files = session.sparkContext.defaultParallelism
     sent = samples.messages(session, folder).withColumn("part", samples.arrival_part())
+    none = session.createDataFrame([], sent.drop("part").schema).coalesce(1)
     for part in range(samples.BATCHES):
         rows = sent.where(F.col("part") == part).drop("part")
-        rows.coalesce(1).write.mode("append").parquet(log)
+        rows.repartition(files).write.mode("append").parquet(log)
+        # A task without rows writes no file; every batch has the same number.
+        names = [n for n, _ in Files(session, log).children(log) if n.startswith("part-")]
+        for _ in range((part + 1) * files - len(names)):
+            none.write.mode("append").parquet(log)
         if then and not part:
-            then()
-    samples.end_message(session, folder).coalesce(1).write.mode("append").parquet(log)
+            then(str(files))
+    if ending:
+        samples.end_message(session, folder).coalesce(1).write.mode("append").parquet(log)
+    return str(files)
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
@@ -236,12 +285,12 @@ def _stamped(found: DataFrame, *names: str) -> DataFrame:
 
 def _replayed(spark: SparkSession, folder: str, build: Callable, shape=None) -> DataFrame:
     """Write the events as a message log, out of order by less than the delay, run a stream
-    over it file by file, and read back every window it emitted."""
+    over it batch by batch, and read back every window it emitted."""
     session = _stream_session(spark)
     log, out = scratch_path(spark, "log"), scratch_path(spark, "windows")
     progress = scratch_path(spark, "progress")
-    _in_batches(session, folder, log)
-    rows = build(messages.parse(messages.from_files(session, log, maxFilesPerTrigger="1")))
+    files = _in_batches(session, folder, log)
+    rows = build(messages.parse(messages.from_files(session, log, maxFilesPerTrigger=files)))
     runs.replay_to_files(rows, out, progress, shape)
     return _stamped(spark.read.parquet(out).drop("batch"), "window_start", "window_end")
 
@@ -278,18 +327,17 @@ def stream_hot_songs_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
-    """Page views of a stream that is stopped after the first file and started again."""
+    """Page views of a stream that is stopped after the first batch and started again."""
     session = _stream_session(spark)
     log, out = scratch_path(spark, "log"), scratch_path(spark, "windows")
     progress = scratch_path(spark, "progress")
 
-    def run() -> None:
-        source = messages.from_files(session, log, maxFilesPerTrigger="1")
+    def run(files: str) -> None:
+        source = messages.from_files(session, log, maxFilesPerTrigger=files)
         rows = counts.page_views(messages.parse(source), WIDE_WINDOW, WIDE_SLIDE, samples.DELAY)
         runs.replay_to_files(rows, out, progress)
 
-    _in_batches(session, folder, log, run)
-    run()
+    run(_in_batches(session, folder, log, run))
     return _stamped(spark.read.parquet(out).drop("batch"), "window_start", "window_end")
 
 
@@ -297,7 +345,7 @@ def stream_last_window(spark: SparkSession, folder: str) -> DataFrame:
     """What the table of page views holds when the stream has read everything."""
     session = _stream_session(spark)
     log, place = scratch_path(spark, "log"), scratch_path(spark, "table")
-    _in_batches(session, folder, log)
+    files = _in_batches(session, folder, log)
     shown = []
 
     def write(df: DataFrame) -> None:
@@ -305,7 +353,7 @@ def stream_last_window(spark: SparkSession, folder: str) -> DataFrame:
         df.write.parquet(path)
         shown.append(path)
 
-    source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger="1"))
+    source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger=files))
     runs.start_visitors(
         source, write, lambda df: None, scratch_path(spark, "progress"), samples.DELAY,
         WIDE_WINDOW, WIDE_SLIDE, availableNow=True,
@@ -313,12 +361,12 @@ def stream_last_window(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(shown[-1])
 
 
-def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+def _arrival_windows(spark: SparkSession, folder: str, keys: tuple[str, ...], shape) -> DataFrame:
     """Windows by arrival over the same log: messages count when they are read, however old
     they are. Batches arrive 30 seconds apart; the running window is kept after each."""
     session = _stream_session(spark)
     log, place = scratch_path(spark, "log"), scratch_path(spark, "arrivals")
-    _in_batches(session, folder, log)
+    files = _in_batches(session, folder, log)
     shown = []
 
     def clock(batch_id: int) -> datetime:
@@ -326,17 +374,42 @@ def stream_late(spark: SparkSession, folder: str) -> DataFrame:
 
     def write(rows: DataFrame) -> None:
         path = f"{place}/shown-{len(shown)}"
-        found = arrivals.visitors(rows).withColumn("shown", F.lit(len(shown)))
+        found = shape(rows).withColumn("shown", F.lit(len(shown)))
         found.write.mode("overwrite").parquet(path)
         shown.append(path)
 
-    source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger="1"))
-    arrivals.start(
-        source, ("mid", "uid"), write, place, clock=clock, beats=False, availableNow=True
-    ).awaitTermination()
+    source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger=files))
+    arrivals.start(source, keys, write, place, clock=clock, availableNow=True).awaitTermination()
     return spark.read.parquet(*shown)
 
 
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Page views and users by arrival."""
+    return _arrival_windows(spark, folder, ("mid", "uid"), arrivals.visitors)
+
+
+def stream_songs_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """Hot songs by arrival."""
+    return _arrival_windows(spark, folder, ("songname",), arrivals.songs)
+
+
+def stream_catch_up(spark: SparkSession, folder: str) -> DataFrame:
+    """Page views of a stream that reads a backlog with its heartbeat muted, is stopped, and goes
+    on live from the same checkpoint: no message follows, so the heartbeat alone closes the
+    last windows."""
+    session = _stream_session(spark)
+    log, out = scratch_path(spark, "log"), scratch_path(spark, "windows")
+    progress = scratch_path(spark, "progress")
+    files = _in_batches(session, folder, log, ending=False)
+    for muted in (True, False):
+        source = messages.parse(messages.from_files(session, log, maxFilesPerTrigger=files))
+        beating = runs.with_heartbeat(source, muted)
+        rows = counts.page_views(beating, WIDE_WINDOW, WIDE_SLIDE, samples.DELAY)
+        runs.replay_to_files(rows, out, progress)
+    found = spark.read.parquet(out).where(F.col("mid") != runs.BEAT).drop("batch")
+    return _stamped(found, "window_start", "window_end")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -351,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         json_singers,
         time_normalise,
         song_features,
+        song_features_first_load,
         song_heat_rank,
         song_heat_top,
         singer_heat_rank,
@@ -372,6 +446,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_uv_wide,
         stream_hot_songs_wide,
         stream_late,
+        stream_songs_arrival,
+        stream_catch_up,
         stream_resume,
         stream_last_window,
     )

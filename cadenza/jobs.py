@@ -21,13 +21,15 @@ from cadenza.session import build_session, scratch
 from cadenza.sinks.jdbc import CONNECTIONS, dated, replace_table
 from cadenza.sinks.text import write_by_table
 from cadenza.sources.client_log import read_lines
-from cadenza.sources.tables import Warehouse
+from cadenza.sources.tables import Warehouse, between_days, on_day
 
 # Table names of the warehouse.
 PLAYS = "to_client_song_play_operate_req_d"
 SONG_INFO = "to_song_info_d"
 SONGS = "tw_song_baseinfo_d"
 FEATURES = "tw_song_ftur_d"
+SONG_SEEN = "tw_song_seen_d"  # kept for later days: values, and their gaps
+SONG_GAPS = "tw_song_gaps_d"
 SONG_RANK = "tw_song_rsi_d"
 SINGER_RANK = "tw_singer_rsi_d"
 MACHINES = "tw_mac_baseinfo_d"
@@ -74,6 +76,56 @@ class Job:
     copy: str | None = None
     copied: Callable[[DataFrame], DataFrame] = lambda df: df
     with_day: bool = True
+    before: Callable[[Warehouse, str], None] | None = None
+
+
+def _digest(df: DataFrame) -> tuple:
+    """Count and hash sum of the rows, whatever their order."""
+    each = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
+    return tuple(df.agg(F.count("*"), F.sum(each)).first())
+
+
+def keep_song_days(store: Warehouse, day: str) -> None:
+    """Bring the kept song values and gaps up to ``day``, from that day's plays alone.
+
+    Days that were never kept, as before the first run, are loaded from their plays, and with
+    them the days after, whose gaps may lack them. A rerun of an old day whose plays have
+    changed drops what was kept of later days, so that their next run loads it again.
+    """
+    first, before = shift_day(day, -songs.FAR_DAYS), shift_day(day, -1)
+    kept = store.days(SONG_SEEN) & store.days(SONG_GAPS)
+    missing = [d for d in store.days(PLAYS) if first <= d <= before and d not in kept]
+    if missing:
+        start = min(missing)
+        # Gaps reach back a whole window, so that they hold for reruns of old days too.
+        plays = store.read_days(PLAYS, shift_day(start, -songs.FAR_DAYS), before)
+        seen = songs.play_values(plays)
+        late = {d for d in store.days(PLAYS) | kept if start <= d <= before}
+        store.replace_days(between_days(seen, start, before), SONG_SEEN, late)
+        gaps = songs.play_gaps(plays, seen)
+        store.replace_days(between_days(gaps, start, before), SONG_GAPS, late)
+    plays = on_day(store.read_days(PLAYS, day), day)
+    later = {d for d in store.days(SONG_SEEN) | store.days(SONG_GAPS) if d > day}
+    seen = songs.play_values(plays)
+    if later and _changed(store, seen, day):
+        store.drop_days(SONG_GAPS, later)
+        store.drop_days(SONG_SEEN, later)
+    store.replace_day(seen, SONG_SEEN, day)
+    seen = store.read_days(SONG_SEEN, day)
+    if kept or missing:
+        earlier = store.read_days(SONG_SEEN, first, before)
+        gaps = songs.play_gaps(plays, seen, between_days(earlier, first, before), day)
+    else:
+        gaps = songs.play_gaps(plays, seen)
+    store.replace_day(gaps, SONG_GAPS, day)
+
+
+def _changed(store: Warehouse, seen: DataFrame, day: str) -> bool:
+    """Whether a day's values are not those that were kept. Its row counts concern no other
+    day, for later windows read them from its own gaps."""
+    if day not in store.days(SONG_SEEN):
+        return True
+    return _digest(on_day(store.read_days(SONG_SEEN, day), day)) != _digest(seen)
 
 
 def _features(store: Warehouse, day: str) -> DataFrame:
@@ -85,8 +137,8 @@ def _features(store: Warehouse, day: str) -> DataFrame:
         history = store.spark.createDataFrame(
             [], "NBR string, SING_CNT bigint, SUPP_CNT bigint, data_dt string"
         )
-    plays = store.read_days(PLAYS, first, day)
-    return songs.song_features(plays, store.read(SONGS), history, day)
+    gaps = store.read_days(SONG_GAPS, first, day)
+    return songs.song_features_from(gaps, store.read(SONGS), history, day)
 
 
 def _locations(store: Warehouse, day: str) -> DataFrame:
@@ -114,7 +166,7 @@ JOBS: dict[str, Job] = {
     "song_dimension": Job(
         lambda store, day: songs.song_dimension(store.read(SONG_INFO)), SONGS, by_day=False
     ),
-    "song_features": Job(_features, FEATURES),
+    "song_features": Job(_features, FEATURES, before=keep_song_days),
     "song_heat": Job(
         lambda store, day: songs.song_heat_rank(store.read_days(FEATURES, day), day),
         SONG_RANK,
@@ -165,6 +217,8 @@ Copy = Callable[[DataFrame, str], None]
 def run_job(name: str, store: Warehouse, day: str, copy: Copy | None = None) -> None:
     """Run one table job for ``day``; ``copy`` writes rows to a named result table."""
     job = JOBS[name]
+    if job.before is not None:
+        job.before(store, day)
     result = job.plan(store, day)
     if not job.by_day:
         store.replace(result, job.output)

@@ -32,8 +32,10 @@ def start(
 ) -> list:
     """Start the query of ``stream`` over the (value, timestamp) log; ``writer_for`` gives the
     writer of a result table. Without ``delay`` windows go by arrival and the running one
-    is shown; with it they go by event time and the last complete one is shown."""
-    parsed = messages.parse(log)
+    is shown; with it they go by event time and the last complete one is shown. The
+    heartbeat is a source of every run, muted without ``beats``, so that a stream that has
+    read a backlog goes on live from the same checkpoint."""
+    parsed = runs.with_heartbeat(messages.parse(log), not beats, delay is not None)
     views, users, hot = (writer_for(t) for t in (runs.PV_TABLE, runs.UV_TABLE, runs.SONG_TABLE))
     if delay is None:
         trigger = trigger or {
@@ -51,9 +53,7 @@ def start(
         if stream == "songs":
             keys, write = ("songname",), lambda rows: hot(arrivals.songs(rows, top))
         place = f"{checkpoint}/{stream}-arrival"
-        return [arrivals.start(parsed, keys, write, place, window, beats=beats, **trigger)]
-    if beats:
-        parsed = runs.with_heartbeat(parsed)
+        return [arrivals.start(parsed, keys, write, place, window, **trigger)]
     place = f"{checkpoint}/{stream}"
     if stream == "songs":
         slide = slide or counts.SONG_SLIDE
@@ -81,7 +81,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--top", type=int, default=counts.TOP_SONGS, help="songs of a window")
     parser.add_argument(
         "--backlog", action="store_true",
-        help="no heartbeat: old messages are read, the last windows wait for newer ones",
+        help="mute the heartbeat: old messages are read, the last windows wait for newer ones; "
+        "start again without it to go on live",
     )
     parser.add_argument("--checkpoint", required=True, help="shared folder for progress")
     parser.add_argument(

@@ -9,7 +9,8 @@ from cadenza.functions.address import MISSING, repair_city, repair_province
 from cadenza.functions.dates import pad_time, shift_day
 from cadenza.operators.ranking import top_n
 from cadenza.operators.snapshot import carry_forward
-from cadenza.sources.gazetteer import ADDRESS_FIELDS, cell, parse_answers
+from cadenza.session import checkpointed
+from cadenza.sources.gazetteer import ADDRESS_FIELDS, nearest_answers
 from cadenza.sources.tables import between_days
 
 # Fixed values.
@@ -18,7 +19,7 @@ JOINT_PACKAGE = "联营版"
 JOINT_MODE, SOLD_MODE = "联营", "卖断"
 FULL_RATE = 100
 LOCATION_DAYS = 30
-CELL_DIGITS = 4
+GRIDS = (4, 3, 2)  # decimals of the grids in which the nearest answer is sought
 
 LOCATION_COLUMNS = ("MID", "X", "Y", "CNT", *ADDRESS_FIELDS)
 
@@ -162,21 +163,15 @@ def machine_locations(
     yesterday: DataFrame | None,
     day: str,
     days: int = LOCATION_DAYS,
-    digits: int = CELL_DIGITS,
+    grids: tuple[int, ...] = GRIDS,
 ) -> DataFrame:
     """Addressed position of every machine, yesterday's row where today gives none.
 
-    Positions match stored ``answers`` (lat, lng, answer) by cells of ``digits`` decimals;
-    only the answers of today's cells are parsed. A position without one counts as
-    unanswered.
+    A position takes the nearest of the stored ``answers`` (lat, lng, answer) within the width of
+    the last grid; one without any counts as unanswered.
     """
-    keys = ["lat_cell", "lng_cell"]
-    placed = busiest_positions(positions, day, days).withColumns(
-        {"lat_cell": cell(F.col("X"), digits), "lng_cell": cell(F.col("Y"), digits)}
-    )
-    celled = answers.withColumns(
-        {"lat_cell": cell(F.col("lat"), digits), "lng_cell": cell(F.col("lng"), digits)}
-    )
-    asked = celled.join(placed.select(*keys), keys, "left_semi").select("lat", "lng", "answer")
-    today = placed.join(parse_answers(asked, digits), keys).select(*LOCATION_COLUMNS)
+    # One row per machine.
+    placed = checkpointed(busiest_positions(positions, day, days))
+    found = nearest_answers(placed.select("X", "Y").distinct(), answers, grids)
+    today = placed.join(found, ["X", "Y"]).select(*LOCATION_COLUMNS)
     return today if yesterday is None else carry_forward(today, yesterday, "MID")

@@ -10,10 +10,13 @@ from cadenza.functions.dates import normalise_time, shift_day
 from cadenza.functions.heat import heat_index
 from cadenza.operators.counting import nested_window_counts
 from cadenza.operators.ranking import full_rank, top_n
+from cadenza.operators.trailing import day_gaps, day_values, many_gaps, trailing_counts
 from cadenza.sources.tables import DAY, between_days, on_day
 
 NEAR_DAYS, FAR_DAYS = 7, 30
 TOP = 30
+COUNTED = {"USR_CNT": "UID", "ORDR_CNT": "ORDER_ID"}  # distinct counts and their columns
+PREFIXES = {0: "", NEAR_DAYS: "RCT_7_", FAR_DAYS: "RCT_30_"}
 
 # Catalog columns passed through unchanged.
 PLAIN_HEAD = ("SOURCE",)
@@ -67,7 +70,8 @@ def song_features(
     near_days: int = NEAR_DAYS,
     far_days: int = FAR_DAYS,
 ) -> DataFrame:
-    """Play, user and order counts of the songs played on ``day``.
+    """Play, user and order counts of the songs played on ``day``, from the plays of the
+    whole period.
 
     The trailing windows hold both end days (``near_days + 1`` dates). Peaks come from
     the earlier output of this job in ``history`` and never from ``day`` itself, so a
@@ -80,12 +84,49 @@ def song_features(
     counts = nested_window_counts(
         between_days(plays, far, day).withColumnRenamed("SONGID", "NBR"),
         key="NBR",
-        values={"USR_CNT": "UID", "ORDR_CNT": "ORDER_ID"},
+        values=COUNTED,
         level=level,
         prefixes={2: "", 1: "RCT_7_", 0: "RCT_30_"},
         rows="SING_CNT",
     ).where(F.col("SING_CNT") > 0)
+    return _features(counts, songs, history, day, near_days, far_days)
 
+
+def play_values(plays: DataFrame) -> DataFrame:
+    """The distinct users and orders of each song and day, to be kept for later days."""
+    return day_values(plays.withColumnRenamed("SONGID", "NBR"), "NBR", list(COUNTED.values()))
+
+
+def play_gaps(
+    plays: DataFrame, seen: DataFrame, earlier: DataFrame | None = None, day: str | None = None
+) -> DataFrame:
+    """How long ago the values ``seen`` had been seen before, to be kept: of one ``day``, compared
+    with the kept values of ``FAR_DAYS`` ``earlier`` days, or of many days among themselves."""
+    rows = plays.withColumnRenamed("SONGID", "NBR")
+    if earlier is None:
+        return many_gaps(rows, seen, "NBR")
+    return day_gaps(rows, seen, earlier, "NBR", day)
+
+
+def song_features_from(gaps: DataFrame, songs: DataFrame, history: DataFrame, day: str) -> DataFrame:
+    """The same features from the kept gaps of the last ``FAR_DAYS`` days and ``day``'s own; no
+    plays are read."""
+    kept = between_days(gaps, shift_day(day, -FAR_DAYS), day)
+    counts = trailing_counts(kept, "NBR", list(COUNTED), day, PREFIXES, "SING_CNT")
+    counts = counts.where(F.col("SING_CNT") > 0)
+    return _features(counts, songs, history, day, NEAR_DAYS, FAR_DAYS)
+
+
+def _features(
+    counts: DataFrame,
+    songs: DataFrame,
+    history: DataFrame,
+    day: str,
+    near_days: int,
+    far_days: int,
+) -> DataFrame:
+    """Counts with their songs' columns and the peaks of the days before."""
+    near, far = shift_day(day, -near_days), shift_day(day, -far_days)
     in_near = F.col(DAY) >= near
     peaks = (
         between_days(history, far, shift_day(day, -1))

@@ -65,8 +65,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/cadenza-{label}-{uuid.uuid4().hex}"
+    """A fresh path below the application's scratch in the shared folder, which is deleted
+    when the driver's JVM ends."""
+    folder = f"{shared_folder(spark)}/cadenza-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        store.mkdirs(place)
+        store.deleteOnExit(place)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -1,12 +1,17 @@
-"""Stored answers of a reverse geocoder, as address columns per map cell."""
+"""Stored answers of a reverse geocoder, as address columns of the positions near them."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.operators.projection import computed_once
 from cadenza.operators.ranking import top_n
+from cadenza.session import checkpointed
 
 # Result column and its place in an answer.
 ADDRESS_FIELDS = {
@@ -42,30 +47,73 @@ addressComponent struct<
 """
 
 
-def cell(degrees: Column, digits: int) -> Column:
-    """A coordinate rounded to ``digits`` decimals, exact, as a join key."""
-    return F.round(degrees.try_cast("decimal(18,9)"), digits).cast(f"decimal(12,{digits})")
+def degrees(text: Column) -> Column:
+    """A coordinate as an exact number."""
+    return text.try_cast("decimal(18,9)")
+
+
+def _cell(coordinate: Column, digits: int) -> Column:
+    """The number of the grid cell of ``digits`` decimals that a coordinate lies in."""
+    return F.floor(coordinate * (10**digits)).cast("bigint")
 
 
-def parse_answers(answers: DataFrame, digits: int) -> DataFrame:
-    """(lat_cell, lng_cell) and the address columns from (lat, lng, answer).
+def _around(cell: Column) -> Column:
+    return F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda n: cell + n))
+
+
+def parse_answers(answers: DataFrame) -> DataFrame:
+    """(lat, lng) as numbers, the answer's text, and the address columns, from (lat, lng, answer).
 
     A missing field is ''. Text without an address component is a failed answer and is
-    left out. Of several answers in a cell the one with the least coordinates stays, so a
-    position never matches twice.
+    left out.
     """
     answered = computed_once(
         answers, F.struct(F.from_json("answer", _ANSWER).alias("found")), "lat", "lng", "answer"
     ).where(F.col("found.addressComponent").isNotNull())
-    celled = answered.withColumns(
-        {"lat_cell": cell(F.col("lat"), digits), "lng_cell": cell(F.col("lng"), digits)}
-    )
-    single = top_n(celled, 1, ["lat_cell", "lng_cell"], list(map(F.asc, ("lat", "lng", "answer"))))
-    return single.select(
-        "lat_cell",
-        "lng_cell",
+    return answered.select(
+        "lat",
+        "lng",
+        "answer",
         *[
             F.coalesce(F.col(f"found.{place}"), F.lit("")).alias(name)
             for name, place in ADDRESS_FIELDS.items()
         ],
     )
+
+
+def nearest_answers(positions: DataFrame, answers: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """(X, Y) and the address columns of the answer nearest to each position.
+
+    ``positions`` has distinct (X, Y) as text, ``answers`` (lat, lng, answer). ``levels`` are grids
+    by their decimals, finest first. In a grid a position meets the answers of its cell and the
+    eight around it, so the nearest one within a cell's width is found whichever side of an edge it
+    is on; a position without one goes on to the next grid. So all answers within the last
+    grid's width are reached, and crowded places are settled in small cells. Distance is
+    in degrees; of equal ones the least coordinates, then the least text. Failed answers do not
+    count; only answers near an open position are parsed.
+    """
+    open_ = positions.select("X", "Y", degrees(F.col("X")).alias("_x"), degrees(F.col("Y")).alias("_y"))
+    open_ = checkpointed(open_.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
+    known = answers.select(
+        degrees(F.col("lat")).alias("lat"), degrees(F.col("lng")).alias("lng"), "answer"
+    )
+    parts = []
+    for digits in levels:
+        cells = {"_i": _cell(F.col("lat"), digits), "_j": _cell(F.col("lng"), digits)}
+        asked = open_.withColumn("_i", _around(_cell(F.col("_x"), digits)))
+        asked = asked.withColumn("_j", _around(_cell(F.col("_y"), digits)))
+        near = known.withColumns(cells).join(asked.select("_i", "_j"), ["_i", "_j"], "left_semi")
+        parsed = parse_answers(near).withColumns(cells)
+        north, east = F.col("lat") - F.col("_x"), F.col("lng") - F.col("_y")
+        width = Decimal(1).scaleb(-digits)
+        # Numbers of nine decimals below a cell's width have exact squares.
+        square = sum((c.cast("decimal(12,9)") * c.cast("decimal(12,9)") for c in (north, east)))
+        met = asked.join(parsed, ["_i", "_j"]).withColumn("_square", square)
+        met = met.where(F.col("_square") <= F.lit(width * width))
+        order = [F.asc(name) for name in ("_square", "lat", "lng", "answer")]
+        best = top_n(met, 1, ["X", "Y"], order).select("X", "Y", *ADDRESS_FIELDS)
+        best = checkpointed(best)
+        parts.append(best)
+        if digits != levels[-1]:
+            open_ = checkpointed(open_.join(best.select("X", "Y"), ["X", "Y"], "left_anti"))
+    return reduce(DataFrame.unionByName, parts)

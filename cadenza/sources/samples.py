@@ -23,6 +23,11 @@ CALENDAR_START = "20231227"
 FIRST_SHIP_DAY = "1995-01-02"
 CALENDAR_DAYS = 35
 MINUTES = {"click": ".10", "view": ".20", "purchase": ".30"}  # latitude by event type
+# Further decimals of the latitude by nation: on the answer, beside it (and with its longitude
+# across a cell's edge), in a wider grid only, on the answer (its longitude is moved), nearer to a
+# second answer, half-way between two.
+BESIDE = ("", "00006", "7", "", "15", "1")
+SECOND = "2"  # decimal of the second answer
 
 # Addresses for the repair rules; {} takes the nation's name.
 ADDRESSES = (
@@ -340,29 +345,32 @@ def user_positions(spark: SparkSession, folder: str) -> DataFrame:
     nation = F.col("user_id") % 25
     kind = F.col("event_type")
     minutes = F.try_element_at(F.create_map(*[F.lit(t) for m in MINUTES.items() for t in m]), kind)
-    lat = F.when(kind == "error", "").otherwise(F.concat(_text(nation + 20), minutes))
-    lng = F.when(kind == "error", "").otherwise(F.concat(_text(nation + 100), F.lit(".25")))
+    near = F.get(F.array(*map(F.lit, BESIDE)), (nation % 6).cast("int"))
+    east = F.when(nation % 6 == 3, ".2503").when(nation % 6 == 1, ".2499996").otherwise(".25")
+    lat = F.when(kind == "error", "").otherwise(F.concat(_text(nation + 20), minutes, near))
+    lng = F.when(kind == "error", "").otherwise(F.concat(_text(nation + 100), east))
     return _events(spark, folder).select(
         "UID", _text(F.col("user_id") + 5).alias("MID"), lat.alias("LAT"), lng.alias("LNG"), DAY
     )
 
 
 def geocoder_answers(spark: SparkSession, folder: str) -> DataFrame:
-    """A stored answer for each cell of a nation; those of two nations are failures."""
+    """Stored answers at the positions of each nation, a second one beside some; those of two
+    nations are failures."""
     nations, regions = table(spark, folder, "nation"), table(spark, folder, "region")
-    key, name = F.col("n_nationkey"), F.col("n_name")
+    key, name, second = F.col("n_nationkey"), F.col("n_name"), F.col("second")
+    street = F.when(second, "Side Street").otherwise("Main Street")
+    number = F.when(second, "2").otherwise("1")
     answer = F.to_json(
         F.struct(
-            F.concat(F.lit("1 Main Street, "), name).alias("formatted_address"),
+            F.concat(number, F.lit(" "), street, F.lit(", "), name).alias("formatted_address"),
             F.struct(
                 F.col("r_name").alias("province"),
                 name.alias("city"),
                 _text(key).alias("citycode"),
                 F.concat(name, F.lit(" district")).alias("district"),
                 F.struct(F.concat(name, F.lit(" quarter")).alias("name")).alias("neighborhood"),
-                F.struct(F.lit("Main Street").alias("street"), F.lit("1").alias("number")).alias(
-                    "streetNumber"
-                ),
+                F.struct(street.alias("street"), number.alias("number")).alias("streetNumber"),
             ).alias("addressComponent"),
         )
     )
@@ -371,8 +379,12 @@ def geocoder_answers(spark: SparkSession, folder: str) -> DataFrame:
     return (
         nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"])
         .select("*", minutes.alias("minutes"))
+        .select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("second"))
+        .where(~second | (key % 6 >= 4))
         .select(
-            F.concat(_text(key + 20), F.col("minutes")).alias("lat"),
+            F.concat(
+                _text(key + 20), F.col("minutes"), F.when(second, SECOND).otherwise("")
+            ).alias("lat"),
             F.concat(_text(key + 100), F.lit(".25")).alias("lng"),
             F.coalesce(failed, answer).alias("answer"),
         )

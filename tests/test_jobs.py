@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from cadenza import jobs
 from cadenza.functions.dates import shift_day
 from cadenza.plans import client_log, ledger, machines, revenue, songs, users
+from cadenza.operators.snapshot import carry_forward
+from cadenza.operators.trailing import trailing_counts
 from cadenza.session import scratch
 from cadenza.sinks import jdbc
 from cadenza.sources import gazetteer, samples
@@ -150,7 +152,7 @@ def test_failed_write_leaves_the_old_day(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         store.replace_day(broken, "t", DAY)
     assert store.read("t").count() == 5
-    assert [p.name for p in (tmp_path / "w" / "t").iterdir()] == [f"data_dt={DAY}"]
+    assert len([p for p in (tmp_path / "w" / "t").iterdir() if "version" in p.name]) == 1
     store.replace_day(good.limit(2), "t", DAY)
     assert store.read("t").count() == 2
 
@@ -281,16 +283,58 @@ def test_geocoder_answers(spark):
     body = ('{"formatted_address":"F","addressComponent":{"province":"P","city":[],'
             '"building":{"name":"B"},"businessAreas":[{"id":1}]}}')
     answers = [("20.14", "100.25", body), ("20.13", "100.25", "bad"), ("1", "2", "bad"),
-               ("3", "4", "{}"), ("20.14", "100.26", body.replace('"F"', '"G"'))]
+               ("3", "4", "{}")]
     df = spark.createDataFrame(answers, "lat string, lng string, answer string")
-    found = gazetteer.parse_answers(df, 1).collect()
+    found = gazetteer.parse_answers(df).collect()
     assert len(found) == 1
     row = found[0].asDict()
-    assert (row["lat_cell"], row["lng_cell"]) == (Decimal("20.1"), Decimal("100.3"))
+    assert (row["lat"], row["lng"]) == ("20.14", "100.25")
     assert (row["ADDR"], row["PRVC"], row["BD_NM"], row["STREET"]) == ("F", "P", "B", "")
     assert (row["CTY"], row["BUS_INFO"]) == ("[]", '[{"id":1}]')
 
 
+def answer(name):
+    return f'{{"formatted_address":"{name}","addressComponent":{{}}}}'
+
+
+def test_nearest_answers_equal_brute_force(spark):
+    """Random places, many on edges of cells and equally far, some failed, some far away."""
+    draw = random.Random(11)
+
+    def place():
+        return f"{draw.choice([0, -1, 30])}.{draw.choice(['', '0', '00', '09', '1'])}{draw.randrange(30)}"
+
+    known = [(place(), place(), answer(n) if n % 7 else "bad") for n in range(500)]
+    asked = sorted({(place(), place()) for _ in range(300)}) + [("", "1"), ("x", "1"), (None, "2")]
+    answers = spark.createDataFrame(known, "lat string, lng string, answer string")
+    positions = spark.createDataFrame(asked, "X string, Y string")
+    found = gazetteer.nearest_answers(positions, answers, (3, 2, 1))
+    got = {(r.X, r.Y): r.ADDR for r in found.collect()}
+    wanted = {}
+    for x, y in asked:
+        if not x or x == "x":
+            continue
+        near = [
+            ((Decimal(a) - Decimal(x)) ** 2 + (Decimal(b) - Decimal(y)) ** 2, Decimal(a), Decimal(b), text)
+            for a, b, text in known if text != "bad"
+        ]
+        least = min(near)
+        if least[0] <= Decimal("0.01"):
+            wanted[x, y] = least[3].split('"')[3]
+    assert got == wanted and 30 < len(wanted) < len(asked)
+
+
+def test_carry_forward_keeps_absent_and_unnamed_machines(spark):
+    today = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    old = spark.createDataFrame([(2, "x"), (3, "y"), (3, "y"), (None, "z")], "k int, v string")
+    wanted = rows(spark.createDataFrame(
+        [(1, "a"), (2, "b"), (None, "n"), (3, "y"), (3, "y"), (None, "z")], "k int, v string"
+    ))
+    for limit in (1 << 20, 0):
+        assert rows(carry_forward(today, old, "k", limit)) == wanted
+    assert rows(carry_forward(today.limit(0), old, "k")) == rows(old)
+
+
 def test_refunds_need_revenue_of_the_same_key(spark):
     ledger_rows = [
         # MID, PKG_ID, PAY_TYPE, UID, ABN_TYP, ORDR_ID, COIN_PRC
@@ -363,6 +407,112 @@ def test_week_activity_counts_rows(spark):
     assert rows(users.week_activity(df, DAY), "REG_CHNL", "GDR")[0] == ("支付宝", "女")
 
 
+PLAYED = "SONGID string, UID string, ORDER_ID string, data_dt string"
+
+
+def random_plays(spark, days, seed, n=1500):
+    """One song with a third of the plays, users that come again, missing values."""
+    draw = random.Random(seed)
+    return [
+        ("hot" if i % 3 == 0 else f"s{draw.randrange(6)}",
+         draw.choice([None, *(f"u{k}" for k in range(40))]), draw.choice([None, f"o{i // 4}"]),
+         shift_day(DAY, -draw.choice(days)))
+        for i in range(n)
+    ]
+
+
+def windows_of(store, day):
+    counts = trailing_counts(
+        store.read_days(jobs.SONG_GAPS, shift_day(day, -30), day), "NBR", list(songs.COUNTED),
+        day, songs.PREFIXES, "SING_CNT",
+    ).where("SING_CNT > 0")
+    return {r["NBR"]: r.asDict() for r in counts.collect()}
+
+
+def plain_windows(plays, day):
+    found = {}
+    for back, prefix in songs.PREFIXES.items():
+        inside = [p for p in plays if shift_day(day, -back) <= p[3] <= day]
+        for song in {p[0] for p in plays if p[3] == day}:
+            of = [p for p in inside if p[0] == song]
+            found.setdefault(song, {"NBR": song}).update({
+                f"{prefix}SING_CNT": len(of),
+                f"{prefix}USR_CNT": len({p[1] for p in of} - {None}),
+                f"{prefix}ORDR_CNT": len({p[2] for p in of} - {None}),
+            })
+    return found
+
+
+@pytest.fixture
+def kept(spark, tmp_path):
+    def made(plays):
+        store = Warehouse(spark, root=str(tmp_path / "kept"))
+        store.load_days(spark.createDataFrame(plays, PLAYED), jobs.PLAYS)
+        return store
+
+    return made
+
+
+def test_kept_counts_equal_plain_counts_day_by_day(spark, kept):
+    plays = random_plays(spark, [0, 1, 2, 5, 7, 8, 9, 29, 30, 31, 37, 45], 1)
+    store = kept(plays)
+    for back in (5, 2, 1, 0):  # days between are loaded when they are needed
+        day = shift_day(DAY, -back)
+        jobs.keep_song_days(store, day)
+        assert windows_of(store, day) == plain_windows(plays, day)
+
+
+def test_a_day_reads_only_its_own_plays(spark, kept, monkeypatch):
+    store = kept(random_plays(spark, range(40), 2))
+    jobs.keep_song_days(store, shift_day(DAY, -1))
+    read, plain = [], Warehouse.read_days
+
+    def noted(self, table, first, last=None):
+        if table == jobs.PLAYS:
+            read.append((first, last))
+        return plain(self, table, first, last)
+
+    monkeypatch.setattr(Warehouse, "read_days", noted)
+    jobs.keep_song_days(store, DAY)
+    assert read == [(DAY, None)]
+
+
+def test_a_late_rerun_of_an_old_day_gives_the_same(spark, kept):
+    plays = random_plays(spark, range(50), 3, 4000)
+    store = kept(plays)
+    jobs.keep_song_days(store, DAY)
+    wanted = windows_of(store, DAY)
+    for back in (12, 20, 3):
+        day = shift_day(DAY, -back)
+        jobs.keep_song_days(store, day)
+        assert windows_of(store, day) == plain_windows(plays, day)
+    assert shift_day(DAY, -1) in store.days(jobs.SONG_GAPS)  # nothing had changed
+    assert windows_of(store, DAY) == wanted == plain_windows(plays, DAY)
+
+
+def test_late_plays_of_an_old_day_are_counted(spark, kept):
+    plays = random_plays(spark, range(35), 4)
+    store, old = kept(plays), shift_day(DAY, -6)
+    jobs.keep_song_days(store, DAY)
+    more = [("hot", f"late{n}", "late", old) for n in range(5)]
+    day_rows = [p for p in plays if p[3] == old] + more
+    store.replace_day(spark.createDataFrame(day_rows, PLAYED), jobs.PLAYS, old)
+    jobs.keep_song_days(store, old)
+    assert shift_day(DAY, -5) not in store.days(jobs.SONG_GAPS)  # may lack the new values
+    jobs.keep_song_days(store, DAY)
+    assert windows_of(store, DAY) == plain_windows(plays + more, DAY)
+
+
+def test_kept_counts_in_a_catalog(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept_days")
+    plays = random_plays(spark, [0, 1, 4, 30, 31], 5, 300)
+    store = Warehouse(spark, database="kept_days")
+    store.load_days(spark.createDataFrame(plays, PLAYED), jobs.PLAYS)
+    for back in (1, 0):
+        jobs.keep_song_days(store, shift_day(DAY, -back))
+    assert windows_of(store, DAY) == plain_windows(plays, DAY)
+
+
 def test_trailing_windows_hold_both_ends(spark):
     plays = spark.createDataFrame(
         [("5", "u", "o", shift_day(DAY, -n)) for n in (0, 7, 8, 30, 31)],
@@ -379,30 +529,116 @@ def test_trailing_windows_hold_both_ends(spark):
     assert (row.RCT_7_TOP_SING_CNT, row.RCT_30_TOP_SING_CNT) == (7, 30)
 
 
-class Recorder:
-    """Stands in for a DataFrame writer; no database is started."""
+class Writer:
+    """Stands in for a DataFrame's JDBC writer; no database is started."""
+
+    def __init__(self, log, fails):
+        self.log, self.fails, self.set = log, fails, {}
+
+    def format(self, kind):
+        self.set["format"] = kind
+        return self
+
+    def mode(self, mode):
+        self.set["mode"] = mode
+        return self
+
+    def options(self, **given):
+        self.set |= given
+        return self
+
+    def save(self):
+        self.log.append(("load", self.set["dbtable"], self.set["mode"], self.set))
+        if self.fails == self.set["dbtable"]:
+            raise OSError("lost")
+
+
+class Rows:
+    columns, sparkSession = ["a", "b"], None
+
+    def __init__(self, log, fails=None):
+        self.log, self.fails = log, fails
+
+    write = property(lambda self: Writer(self.log, self.fails))
 
-    def __init__(self):
-        self.calls, self.settings = [], {}
+    def limit(self, n):
+        return self
+
+
+def connection(log, fails=None):
+    class Opened:
+        def quoted(self, column):
+            return f"`{column}`"
+
+        def run(self, statements):
+            log.append(("together", statements))
+            if fails:
+                raise OSError("lost")
+
+        def close(self):
+            log.append(("closed",))
+
+    return lambda *given: log.append(("open", *given[1:])) or Opened()
+
+
+def test_results_are_loaded_beside_and_published_in_one_transaction():
+    log = []
+    jdbc.replace_table(Rows(log), "jdbc:x", "t", {"user": "u"}, connect=connection(log))
+    assert [entry[:3] for entry in log[:2]] == [("load", "t_load", "overwrite"), ("load", "t", "append")]
+    assert log[0][3] == {"format": "jdbc", "mode": "overwrite", "user": "u", "url": "jdbc:x",
+                         "dbtable": "t_load", "numPartitions": "8"}
+    assert log[2:] == [
+        ("open", "jdbc:x", "t", {"user": "u"}),
+        ("together", ["DELETE FROM t", "INSERT INTO t (`a`, `b`) SELECT `a`, `b` FROM t_load"]),
+        ("together", ["DROP TABLE t_load"]),
+        ("closed",),
+    ]
+
+
+@pytest.mark.parametrize("fails", ["t_load", "publish"])
+def test_a_failed_load_or_publication_leaves_the_table(fails):
+    log = []
+    with pytest.raises(OSError, match="lost"):
+        jdbc.replace_table(
+            Rows(log, fails), "jdbc:x", "t", connect=connection(log, fails == "publish")
+        )
+    touched = [entry for entry in log if entry[0] == "load" and entry[1:3] == ("t", "overwrite")]
+    assert not touched
+    if fails == "t_load":
+        assert len(log) == 1
+    else:
+        assert log[-1] == ("closed",) and [e[0] for e in log].count("together") == 1
+
+
+class Database:
+    """A connection that notes what is called."""
+
+    def __init__(self, fails):
+        self.calls, self.fails = [], fails
 
     def __getattr__(self, name):
-        def call(*args, **kwargs):
-            self.calls.append((name, *args))
-            self.settings.update(kwargs)
+        def call(*given):
+            self.calls.append((name, *given))
+            if given and given[0] == self.fails:
+                raise OSError("lost")
             return self
 
         return call
 
 
-def test_jdbc_replaces_rows_over_few_connections():
-    class Frame:
-        write = Recorder()
-
-    jdbc.replace_table(Frame, "jdbc:x", "t", {"user": "u"})
-    assert ("mode", "overwrite") in Frame.write.calls and Frame.write.calls[-1] == ("save",)
-    assert Frame.write.settings == {
-        "user": "u", "url": "jdbc:x", "dbtable": "t", "truncate": "true", "numPartitions": "8"
-    }
+@pytest.mark.parametrize("fails", [None, "two"])
+def test_statements_are_one_transaction(fails):
+    opened = jdbc.Connection.__new__(jdbc.Connection)
+    opened._open = database = Database(fails)
+    if fails:
+        with pytest.raises(OSError):
+            opened.run(["one", "two"])
+    else:
+        opened.run(["one", "two"])
+    assert database.calls == [
+        ("setAutoCommit", False), ("createStatement",), ("executeUpdate", "one"),
+        ("executeUpdate", "two"), ("rollback",) if fails else ("commit",), ("close",),
+    ]
 
 
 def test_command_line(store, spark):

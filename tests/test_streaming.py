@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -168,14 +169,104 @@ def test_arrival_window_moves_on_and_forgets(spark, tmp_path):
     source = messages.parse(messages.from_files(spark, log, maxFilesPerTrigger="1"))
     place = str(tmp_path / "place")
     arrivals.start(
-        source, ("mid", "uid"), show, place, "60 seconds", beats=False, availableNow=True,
+        source, ("mid", "uid"), show, place, "60 seconds", availableNow=True,
         clock=lambda n: START + timedelta(seconds=40 * n),
     ).awaitTermination()
     assert [[row[0] for row in visitors] for visitors, _ in shown] == [
         ["m0"], ["m0", "m1"], ["m1", "m2"], ["m2", "m3"]
     ]
     assert all(songs == [] for _, songs in shown)  # the store keeps the asked keys only
-    assert len([p for p in (tmp_path / "place" / "window").iterdir() if "=" in p.name]) == 2
+    held = {p.name for p in (tmp_path / "place" / "window").iterdir() if p.is_dir()}
+    # What the last two batches hold, and what the last but one had let go.
+    assert held == {"index", "pane-1", "pane-2", "pane-3", "total-2", "total-3"}
+
+
+def arrival_rows(spark, n):
+    return spark.createDataFrame(
+        [(f"m{n % 3}", f"u{n % 5}", None), ("hot", f"u{n % 7}", None), (None, "u", None)],
+        "mid string, uid string, songname string",
+    )
+
+
+@pytest.mark.parametrize("slide", [1, 5])
+def test_a_trigger_reads_few_panes_whatever_the_window_holds(spark, tmp_path, slide):
+    """Twenty and four panes in the window; every tenth batch is repeated, every ninth empty."""
+    shown, read, n = [], [], 28 if slide == 1 else 12
+    handle = arrivals.RunningWindow(
+        str(tmp_path / "w"), ("mid", "uid"), "20 seconds",
+        lambda rows: shown.append(collected(rows.select("mid", "uid", "n"))),
+        lambda k: START + timedelta(seconds=slide * k),
+    )
+    for k in range(n):
+        batch = arrival_rows(spark, k)
+        batch = batch.limit(0) if k % 9 == 8 else batch
+        for _ in range(2 if k % 10 == 0 else 1):
+            handle(batch, k)
+        read.append(handle.read)
+    assert max(read) <= 3
+    for k in (0, 8, n // 2, n - 1):
+        seen = {}
+        for j in range(max(0, k - 20 // slide + 1), k + 1):
+            if j % 9 != 8:
+                for key in ((f"m{j % 3}", f"u{j % 5}"), ("hot", f"u{j % 7}")):
+                    seen[key] = seen.get(key, 0) + 1
+        at = k + sum(1 for j in range(k + 1) if j % 10 == 0)
+        assert shown[at] == sorted((*key, m) for key, m in seen.items())
+    stored = [p for p in (tmp_path / "w").iterdir() if p.is_dir()]
+    assert len(stored) <= 20 // slide + 5
+
+
+def test_timed_triggers_show_the_window_every_interval(spark, tmp_path):
+    log, shown = str(tmp_path / "log"), []
+    write(spark, [message(0, "m", f"u{i}", f"s{i % 3}") for i in range(9)], log)
+
+    def writer_for(table):
+        return lambda df: shown.append((time.time(), table, collected(df)))
+
+    source = messages.from_files(spark, log)
+    (query,) = live.start(
+        spark, "songs", source, str(tmp_path / "p"), writer_for, beats=True, window="4 seconds",
+        processingTime="2 seconds",
+    )
+    try:
+        end = time.time() + 120
+        while len(shown) < 5 and time.time() < end and query.isActive:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert query.exception() is None and len(shown) >= 5
+    assert {table for _, table, _ in shown} == {"hotsong"}
+    assert [rows for _, _, rows in shown][0] == [("s0", 3, 1), ("s1", 3, 2), ("s2", 3, 3)]
+    assert shown[-1][2] == []  # the heartbeat goes on, and the messages have left the window
+    apart = [b[0] - a[0] for a, b in zip(shown[1:], shown[2:], strict=False)]
+    assert min(apart) > 0.5
+
+
+@pytest.mark.parametrize("delay", [None, "1 hour"])
+def test_a_stream_goes_on_live_after_its_backlog(spark, tmp_path, delay):
+    """The same checkpoint, with the heartbeat muted and then not."""
+    log, tables = str(tmp_path / "log"), {}
+    write(spark, sample()[:-1], log)
+
+    def writer_for(table):
+        return lambda df: tables.__setitem__(table, collected(df))
+
+    def run(beats):
+        source = messages.from_files(spark, log)
+        (query,) = live.start(spark, "visitors", source, str(tmp_path / "p"), writer_for, delay,
+                              beats=beats, availableNow=True)
+        query.awaitTermination()
+
+    run(False)
+    before = dict(tables)
+    run(True)
+    if delay is None:
+        assert before and tables["tw_pv"]
+    else:  # only the heartbeat closes the last window
+        parsed = messages.parse(spark.createDataFrame(sample()[:-1], LOG))
+        views = counts.page_views(parsed)
+        last = views.where(F.col("window_end") == views.agg(F.max("window_end")).first()[0])
+        assert tables["tw_pv"] == collected(last.select("mid", "pv"))
 
 
 def test_buckets_are_counted_before_they_are_spread(spark):
