@@ -23,7 +23,7 @@ from cadenza.llm.anchors import (
     unpacked_ids,
     unplanes,
 )
-from cadenza.llm.common import stored
+from cadenza.llm.common import stored, with_own_ids
 from cadenza.llm.words import Words, bytes_of, slices
 
 WINDOW = 20
@@ -94,11 +94,14 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     them, which are compared as wholes.
 
     Windows are judged on the input, not on what is left. Null texts have no words and an empty
-    ``kept``. Null doc_ids are one id before all others; rows that share a doc_id are one place,
-    where only repeats at different words count, and what is found for one is removed from
-    all. An empty table gives an empty result. Input columns with the names of results are
-    replaced.
+    ``kept``. Rows that share a doc_id or have none are documents of their own, in the order of
+    their texts' hashes, null before all ids; of equal rows one stays whole. An empty table
+    gives an empty result. Input columns with the names of results are replaced.
     """
+    return with_own_ids(docs, _without_substrings)
+
+
+def _without_substrings(docs: DataFrame) -> DataFrame:
     plain = plain_texts(docs)
     probes = plain.mapInArrow(_probes(bucket_count(docs)), PACKED)
     hits = in_buckets(probes).mapInArrow(_hits, "doc_id long, places array<int>")

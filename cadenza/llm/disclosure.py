@@ -41,6 +41,11 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _parts(address: str) -> list[str]:
+    """The numbers of an address without leading zeros, of which there may be any number."""
+    return [part.lstrip("0") for part in address.split(".")]
+
+
 def _emails(text: str) -> list[tuple[int, int]]:
     """Leftmost matches, found from each @ outwards, so that long runs cost one scan."""
     found, done, at = [], 0, text.find("@")
@@ -68,7 +73,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     found["ip"] = [
         m.span()
         for m in _IP.finditer(text)
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split("."))
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in _parts(m[0]))
     ]
     for match in _CARD.finditer(text):
         digits = _NOT_DIGITS.sub("", match[0])

@@ -34,10 +34,9 @@ def windows_of(items: DataFrame) -> DataFrame:
     """``phrase, words, items``: every distinct window of the items, and whose it is.
 
     An item of fewer than ``WINDOW`` words, but not none, is one window. Items with a null
-    item_id are left out; rows that repeat one add their windows to it.
+    item_id have windows too, but name none; rows that repeat an id add their windows to it.
     """
-    named = items.where("item_id is not null")
-    worded = computed_once(named, F.struct(words_of(F.col("text")).alias("words")), "item_id")
+    worded = computed_once(items, F.struct(words_of(F.col("text")).alias("words")), "item_id")
     last = F.greatest(F.size("words") - WINDOW, F.lit(0))
     starts = worded.where(F.size("words") > 0).select(
         "item_id", "words", F.explode(F.sequence(F.lit(0), last)).alias("start")
@@ -119,6 +118,7 @@ def contamination(docs: DataFrame, items: DataFrame, prefix: str = "") -> DataFr
     least a twentieth of its words are hit. The windows' rarest terms are looked up in the
     index and their lists intersected; what is left is compared with the document's own
     words, so each row is judged by its own text, also where rows share a doc_id or have none.
+    Items without an id count as hits but not in ``n_items`` and ``items_sha256``.
     Null or empty texts have no words. Without items nothing is hit, and an empty table gives
     an empty result. Input columns with the names of results are replaced.
     """

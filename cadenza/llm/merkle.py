@@ -1,11 +1,11 @@
 """Merkle manifest of a dataset, proofs and their check by a cogrouped exchange of subtrees.
 
-Leaves are numbered inside their source and cut into superblocks of ``SUPER`` consecutive ones.
+Leaves are numbered inside their source and cut into superblocks of 16**3 consecutive ones.
 On the way up each superblock is reduced to one node, and the nodes are numbered, cut and reduced
 in the same way until a source has one, its subroot; the subroots, by source, are reduced to the
 root. On the way down each superblock is cogrouped with the one row of outer nodes that its
 leaves need: what stands before and after its own node at every level above it. Together they
-finish the reduction, join the proofs and fold them. No group has more than ``SUPER`` rows.
+finish the reduction, join the proofs and fold them. No group has more rows than a superblock.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from cadenza.operators.ranking import full_rank
 
 FAN = 16  # nodes of a run that become one
 LOCAL = 3  # levels inside a superblock
-SUPER = FAN**LOCAL
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _KEY = ["named", "name"]  # a source: null is (false, ''), before all others
 _NODE = "named boolean, name string, place long, digest binary"
@@ -59,40 +58,40 @@ def height(n: int) -> int:
     return levels
 
 
-def local_levels(nodes: Sequence[bytes], block: int) -> list[list[bytes]]:
+def local_levels(nodes: Sequence[bytes], block: int, local: int) -> list[list[bytes]]:
     """The nodes of a superblock level by level. One that is not alone in its source goes up
-    all ``LOCAL`` levels, since a short last run becomes a node too."""
+    all ``local`` levels, since a short last run becomes a node too."""
     levels = [list(nodes)]
-    for _ in range(LOCAL if block else height(len(nodes))):
+    for _ in range(local if block else height(len(nodes))):
         below = levels[-1]
         levels.append([digest_of(below[i : i + FAN]) for i in range(0, len(below), FAN)])
     return levels
 
 
-def _block() -> Column:
-    return F.floor(F.col("place") / SUPER).cast("long")
+def _block(local: int) -> Column:
+    return F.floor(F.col("place") / FAN**local).cast("long")
 
 
-def reduced(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def reduced(nodes: DataFrame, keys: Sequence[str], local: int) -> DataFrame:
     """One node per superblock; its ``place`` is the superblock's number."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place")
-        top = local_levels(rows["digest"].tolist(), int(key[-1]))[-1][0]
+        top = local_levels(rows["digest"].tolist(), int(key[-1]), local)[-1][0]
         named, name = rows["named"].iloc[0], rows["name"].iloc[0]
         return pd.DataFrame(
             {"named": [bool(named)], "name": [name], "place": [int(key[-1])], "digest": [top]}
         )
 
-    grouped = nodes.withColumn("block", _block()).groupBy(*keys, "block")
+    grouped = nodes.withColumn("block", _block(local)).groupBy(*keys, "block")
     return grouped.applyInPandas(run, _NODE)
 
 
-def levels_above(nodes: DataFrame, keys: Sequence[str]) -> list[DataFrame]:
+def levels_above(nodes: DataFrame, keys: Sequence[str], local: int) -> list[DataFrame]:
     """Node tables above ``nodes``, up to the one with a single node per key."""
     above = []
     while True:
-        nodes = stored(reduced(nodes, keys), "nodes")
+        nodes = stored(reduced(nodes, keys, local), "nodes")
         above.append(nodes)
         if not nodes.agg(F.max("place")).first()[0]:
             return above
@@ -106,68 +105,80 @@ def _siblings(levels: list[list[bytes]], at: int):
         at //= FAN
 
 
-def _paths(key: tuple, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _paths(local: int):
     """Nodes of a superblock with the siblings on their way to the root."""
-    nodes, top = nodes.sort_values("place"), outer.iloc[0]
-    levels = local_levels(nodes["digest"].tolist(), int(key[-1]))
-    before, after = [], []
-    for at in range(len(nodes)):
-        own = [[b"".join(x) for x in level] for level in _siblings(levels, at)]
-        before.append([*[x[0] for x in own], *top["before"]])
-        after.append([*[x[1] for x in own], *top["after"]])
-    subroots = [top["subroot"]] * len(nodes)
-    roots = [top["root"]] * len(nodes)
-    found = nodes[["named", "name", "place", "digest"]].copy()
-    return found.assign(before=before, after=after, subroot=subroots, root=roots)
-
-
-def _proved(key: tuple, leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+
+    def run(key: tuple, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        nodes, top = nodes.sort_values("place"), outer.iloc[0]
+        levels = local_levels(nodes["digest"].tolist(), int(key[-1]), local)
+        before, after = [], []
+        for at in range(len(nodes)):
+            own = [[b"".join(x) for x in level] for level in _siblings(levels, at)]
+            before.append([*[x[0] for x in own], *top["before"]])
+            after.append([*[x[1] for x in own], *top["after"]])
+        ends = {name: [top[name]] * len(nodes) for name in ("subroot", "root")}
+        found = nodes[["named", "name", "place", "digest"]].copy()
+        return found.assign(before=before, after=after, **ends)
+
+    return run
+
+
+def _proved(local: int):
     """Leaves of a superblock with their proofs, folded from the leaf as it is presented."""
-    leaves, top = leaves.sort_values("place"), outer.iloc[0]
-    levels = local_levels(leaves["digest"].tolist(), int(key[-1]))
-    ways = [(b, a, b.hex().encode(), a.hex().encode()) for b, a in zip(top["before"], top["after"], strict=True)]
-    outside = b"".join(b + a for b, a, _, _ in ways)
-    proofs, folded = [], []
-    for at, node in enumerate(leaves["shown"]):
-        proof = []
-        for before, after in _siblings(levels, at):
-            proof += before + after
-            node = digest_of([*before, node, *after])
-        for _, _, before, after in ways:
-            node = hashlib.sha256(before + node.hex().encode() + after).digest()
-        proofs.append(b"".join(proof) + outside)
-        folded.append(node.hex())
-    root, subroot = top["root"].hex(), top["subroot"].hex()
-    return pd.DataFrame(
-        {
-            "id": leaves["id"].array,
-            "name": leaves["name"].array,
-            "named": leaves["named"].array,
-            "leaf": [d.hex() for d in leaves["digest"]],
-            "subroot": subroot,
-            "root": root,
-            "proof": proofs,
-            "folded_root": folded,
-            "verified": [f == root for f in folded],
-        }
-    )
+
+    def run(key: tuple, leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        leaves, top = leaves.sort_values("place"), outer.iloc[0]
+        levels = local_levels(leaves["digest"].tolist(), int(key[-1]), local)
+        beyond = list(zip(top["before"], top["after"], strict=True))
+        outside = b"".join(before + after for before, after in beyond)
+        texts = [(before.hex().encode(), after.hex().encode()) for before, after in beyond]
+        proofs, folded = [], []
+        for at, node in enumerate(leaves["shown"]):
+            proof = []
+            for before, after in _siblings(levels, at):
+                proof += before + after
+                node = digest_of([*before, node, *after])
+            for before, after in texts:
+                node = hashlib.sha256(before + node.hex().encode() + after).digest()
+            proofs.append(b"".join(proof) + outside)
+            folded.append(node.hex())
+        root, subroot = top["root"].hex(), top["subroot"].hex()
+        return pd.DataFrame(
+            {
+                "id": leaves["id"].array,
+                "name": leaves["name"].array,
+                "named": leaves["named"].array,
+                "leaf": [d.hex() for d in leaves["digest"]],
+                "subroot": subroot,
+                "root": root,
+                "proof": proofs,
+                "folded_root": folded,
+                "verified": [f == root for f in folded],
+            }
+        )
+
+    return run
 
 
-def _exchanged(nodes: DataFrame, outer: DataFrame, keys: Sequence[str], run, schema: str):
+def _exchanged(
+    nodes: DataFrame, outer: DataFrame, keys: Sequence[str], local: int, run, schema: str
+) -> DataFrame:
     """Superblocks of ``nodes`` cogrouped with their nodes' rows of ``outer``."""
     outer = outer.withColumn("block", F.col("place"))
-    inner = nodes.withColumn("block", _block()).groupBy(*keys, "block")
-    return inner.cogroup(outer.groupBy(*keys, "block")).applyInPandas(run, schema)
+    inner = nodes.withColumn("block", _block(local)).groupBy(*keys, "block")
+    return inner.cogroup(outer.groupBy(*keys, "block")).applyInPandas(run(local), schema)
 
 
-def _descended(above: list[DataFrame], outer: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _descended(
+    above: list[DataFrame], outer: DataFrame, keys: Sequence[str], local: int
+) -> DataFrame:
     """Rows of outer nodes from the top of ``above`` down to its lowest table."""
     for nodes in reversed(above[:-1]):
-        outer = _exchanged(nodes, outer, keys, _paths, f"{_NODE}, {_PATH}")
+        outer = _exchanged(nodes, outer, keys, local, _paths, f"{_NODE}, {_PATH}")
     return outer
 
 
-def manifest(docs: DataFrame, shown: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, shown: Column | None = None, local: int = LOCAL) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``source``, ``leaf``, the ``subroot`` of its
     source, the ``root`` of the dataset, its ``proof``, ``folded_root`` and ``verified``.
 
@@ -175,7 +186,8 @@ def manifest(docs: DataFrame, shown: Column | None = None) -> DataFrame:
     doc_id; every ``FAN`` consecutive nodes, a last run of fewer too, become one until one is
     left, and the sources' nodes likewise. ``proof`` holds the digests of the siblings (32 bytes
     each), level by level, left to right. ``folded_root`` is what the proof gives for a row whose
-    text is ``shown`` (its own text by default), ``verified`` whether that is the root.
+    text is ``shown`` (its own text by default), ``verified`` whether that is the root. A
+    superblock holds ``local`` levels.
 
     Null values have a leaf form of their own. A null source is a source, before all others; the
     empty text is another. Null doc_ids come first in their source; rows that share a doc_id come
@@ -198,21 +210,21 @@ def manifest(docs: DataFrame, shown: Column | None = None) -> DataFrame:
     placed = full_rank(leaves, _KEY, order, "place").withColumn("place", F.col("place") - 1)
     placed = placed.drop("at")
 
-    within = levels_above(placed.select(*_KEY, "place", "digest"), _KEY)
+    within = levels_above(placed.select(*_KEY, "place", "digest"), _KEY, local)
     # Sources are numbered like leaves: there may be many.
     subroots = full_rank(within[-1].drop("place"), [], [F.col(k) for k in _KEY], "place")
     subroots = stored(subroots.withColumn("place", F.col("place") - 1), "subroots")
-    across = levels_above(subroots.select(*_KEY, "place", "digest"), [])
+    across = levels_above(subroots.select(*_KEY, "place", "digest"), [], local)
 
     none = F.array().cast("array<binary>")
     top = across[-1].select(
         *_KEY, "place", none.alias("before"), none.alias("after"),
         F.col("digest").alias("subroot"), F.col("digest").alias("root"),
     )
-    sources = _descended([subroots, *across], top, [])
+    sources = _descended([subroots, *across], top, [], local)
     outer = sources.withColumn("place", F.lit(0).cast("long")).withColumn("subroot", F.col("digest"))
-    outer = stored(_descended(within, outer.drop("digest"), _KEY), "outer")
-    found = _exchanged(placed, outer, _KEY, _proved, RESULT)
+    outer = stored(_descended(within, outer.drop("digest"), _KEY, local), "outer")
+    found = _exchanged(placed, outer, _KEY, local, _proved, RESULT)
     return found.select(
         F.col("id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         F.when(F.col("named"), F.col("name")).alias("source"),

@@ -96,8 +96,7 @@ WITH doc AS (
 item AS (
     SELECT item_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
-    WHERE item_id IS NOT NULL),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),
 item_window AS (
     SELECT DISTINCT item_id, w[i:i + 12] AS phrase, least(len(w), 13) AS n
     FROM item, LATERAL unnest(range(1, greatest(len(w) - 12, 1) + 1)) r(i) WHERE len(w) > 0),
@@ -108,7 +107,7 @@ doc_window AS (
 hit AS (SELECT doc_id, i, d.n, item_id FROM doc_window d JOIN item_window t USING (phrase)),
 place AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
 places AS (SELECT doc_id, count(*) AS n_hit FROM place GROUP BY doc_id),
-ids AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit),
+ids AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit WHERE item_id IS NOT NULL),
 names AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
     FROM ids GROUP BY doc_id)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.anchors import by_document, first_of_runs, grouped, plain_texts, remove_repeats
-from cadenza.llm.common import stored
+from cadenza.llm.common import stored, with_own_ids
 from cadenza.llm.words import Words, bytes_of, signed, slices
 
 PASSAGE = 50  # words from which a repeat counts
@@ -115,10 +115,14 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     right by comparing all passages around it, so every repeat of ``PASSAGE`` words or more is
     found whole.
 
-    Passages are judged on the input. Null texts have no words and an empty ``kept``. Null
-    doc_ids are one id before all others; rows that share a doc_id are one place, where only
-    repeats at different words count, and what is found for one is removed from all. An
-    empty table gives an empty result. Input columns with the names of results are replaced.
+    Passages are judged on the input. Null texts have no words and an empty ``kept``. Rows
+    that share a doc_id or have none are documents of their own, in the order of their texts'
+    hashes, null before all ids; of equal rows one stays whole. An empty table gives an empty
+    result. Input columns with the names of results are replaced.
     """
+    return with_own_ids(docs, _without_passages)
+
+
+def _without_passages(docs: DataFrame) -> DataFrame:
     places = stored(repeated_suffixes(plain_texts(docs)), "matches")
     return remove_repeats(docs, places, PASSAGE, PREFIX)

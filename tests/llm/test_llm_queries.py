@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 def test_all_are_registered():
     names = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def texts(spark):
