@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import cotraining, inverted, lines, mixing, setsketch
-from cadenza.llm.common import discard, recorded, stored, table
+from cadenza.llm.common import discard, recorded, stored, table, with_own_ids
 from cadenza.llm.queries import MIX_REST, MIX_WEIGHTS
 
 SIMILAR = 80  # per cent
@@ -54,11 +54,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies; rows without an id stay."""
-    groups = setsketch.near_duplicates(docs, SIMILAR)
-    return docs.join(groups.where("not kept").select("doc_id"), "doc_id", "left_anti").select(
-        *docs.columns
-    )
+    """The first document of each group of near copies. Rows that share an id or have none are
+    documents of their own."""
+
+    def first_of_groups(rows: DataFrame) -> DataFrame:
+        gone = setsketch.near_duplicates(rows, SIMILAR).where("not kept").select("doc_id")
+        return rows.join(gone, "doc_id", "left_anti").select(*rows.columns)
+
+    return with_own_ids(docs, first_of_groups)
 
 
 @_stage
