@@ -103,12 +103,13 @@ def nearest_answers(positions: DataFrame, answers: DataFrame, levels: Sequence[i
         asked = open_.withColumn("_i", _around(_cell(F.col("_x"), digits)))
         asked = asked.withColumn("_j", _around(_cell(F.col("_y"), digits)))
         near = known.withColumns(cells).join(asked.select("_i", "_j"), ["_i", "_j"], "left_semi")
-        parsed = parse_answers(near).withColumns(cells)
+        # One answer of a place, before places and positions meet.
+        parsed = top_n(parse_answers(near), 1, ["lat", "lng"], [F.asc("answer")]).withColumns(cells)
         north, east = F.col("lat") - F.col("_x"), F.col("lng") - F.col("_y")
         width = Decimal(1).scaleb(-digits)
         # Numbers of nine decimals below a cell's width have exact squares.
         square = sum((c.cast("decimal(12,9)") * c.cast("decimal(12,9)") for c in (north, east)))
-        met = asked.join(parsed, ["_i", "_j"]).withColumn("_square", square)
+        met = asked.join(parsed.drop("rank"), ["_i", "_j"]).withColumn("_square", square)
         met = met.where(F.col("_square") <= F.lit(width * width))
         order = [F.asc(name) for name in ("_square", "lat", "lng", "answer")]
         best = top_n(met, 1, ["X", "Y"], order).select("X", "Y", *ADDRESS_FIELDS)

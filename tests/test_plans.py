@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from cadenza.checks import queries as catalog
+from cadenza.operators.snapshot import carry_forward
 from cadenza.plans import client_log, ledger, machines, songs
 from cadenza.sources import samples
 from cadenza.sources.tables import Warehouse, between_days, on_day
@@ -62,6 +65,51 @@ def test_day_stays_text_when_the_session_infers_types(spark, store):
         spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
 
 
+@pytest.mark.parametrize(
+    "name, table, days",
+    [
+        ("ledger", "to_ycak_cnsm_d", 1),
+        ("active_users", "to_ycak_usr_login_d", 1),
+        ("active_7d", "to_ycak_usr_login_d", 8),
+        ("song_features", "tw_song_gaps_d", 31),
+    ],
+)
+def test_queries_read_the_days_they_need(spark, name, table, days):
+    """Day folders of a warehouse that holds all days of the sample."""
+    files = [f for f in catalog.QUERIES[name](spark, FOLDER).inputFiles() if f"/{table}/" in f]
+    read = {f.split("data_dt=")[1][:8] for f in files}
+    first = (datetime.strptime("20240130", "%Y%m%d") - timedelta(days=days - 1)).strftime("%Y%m%d")
+    assert read and min(read) >= first and max(read) == "20240130"
+    if name == "song_features":
+        plays = [f for f in catalog.QUERIES[name](spark, FOLDER).inputFiles() if "/to_client" in f]
+        assert not any("data_dt=20240130" in f for f in plays)  # only the peaks of days before
+
+
+def test_yesterdays_wide_rows_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    wide = spark.range(1000).select("id", *[F.lit("x").alias(f"c{n}") for n in range(30)])
+    wide.write.parquet(f"{tmp_path}/old")
+    today = wide.where("id % 3 = 0")
+    old = spark.read.parquet(f"{tmp_path}/old")
+    plan = plan_of(carry_forward(today, old, "id"))
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    for node in ("Exchange hashpartitioning", "Sort ", "Window"):
+        assert node not in plan
+    # Beyond what may be broadcast both sides are hashed, still unsorted.
+    beyond = plan_of(carry_forward(today, old, "id", broadcast_bytes=0))
+    assert "ShuffledHashJoin" in beyond and "Sort " not in beyond and "Broadcast" not in beyond
+
+
+def test_replayed_batches_are_spread_over_the_cores(spark, tmp_path):
+    session, log = catalog._stream_session(spark), f"{tmp_path}/log"
+    files = int(catalog._in_batches(session, FOLDER, log))
+    assert files == spark.sparkContext.defaultParallelism > 1
+    found = spark.read.parquet(log).select(F.input_file_name().alias("f")).groupBy("f").count()
+    sizes = [r["count"] for r in found.collect()]
+    names = [f for f in spark.read.parquet(log).inputFiles()]
+    assert len(names) == samples.BATCHES * files + 1
+    assert max(sizes) < sum(sizes) / files
+
+
 def test_features_read_only_their_columns(store, spark):
     plays = store.read("plays")
     dimension = songs.song_dimension(samples.song_catalog(spark, FOLDER))
