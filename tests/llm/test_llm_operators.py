@@ -117,15 +117,64 @@ def test_empty_tables(spark, name):
     assert run(name, spark.createDataFrame([], DOCS)).collect() == []
 
 
-def unique(rows):
-    return {r[0]: r[1] for r in rows if r[0] is not None}
+def by_rows(spark, rows, size):
+    """What is left of each row, as documents in the order of id (null first) and text hash."""
+    plain = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string")
+    hashed = plain.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    ordered = sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    left = without_repeats({i: r.text for i, r in enumerate(ordered)}, size)
+    return sorted(((r.doc_id, *left[i]) for i, r in enumerate(ordered)), key=str)
 
 
-def test_removal_of_repeats_on_awkward_rows(messy):
-    for name, size in (("passages", 50), ("substrings", 20)):
-        plain = messy.where("doc_id is not null").dropDuplicates(["doc_id"])
-        found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in run(name, plain).collect()}
-        assert found == without_repeats(unique(MESSY), size)
+def left_of(found):
+    rows = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in found.collect()]
+    return sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("name, size", [("passages", 50), ("substrings", 20)])
+def test_removal_of_repeats_on_awkward_rows(spark, messy, name, size):
+    assert left_of(run(name, messy)) == by_rows(spark, MESSY, size)
+
+
+@pytest.mark.parametrize("name, size", [("passages", 50), ("substrings", 20)])
+def test_rows_that_share_an_id_keep_their_own_words(spark, name, size):
+    """Text is removed where it repeats, and from no other row of the same id."""
+    passage, a, b = prose(60), prose(80), prose(80)
+    cases = [
+        [(1, passage), (7, f"{passage} {a}"), (7, b)],
+        [(1, passage), (None, f"{passage} {a}"), (None, f"{b} {passage}")],
+        [(None, a), (None, a), (3, a), (3, None), (3, "")],
+    ]
+    for rows in cases:
+        docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], DOCS)
+        docs = docs.withColumns({"own": F.lit("x"), "id_of_row": F.lit("y"), "_id": F.lit("z")})
+        found = run(name, docs)
+        assert found.columns[: len(docs.columns)] == docs.columns
+        assert left_of(found) == by_rows(spark, rows, size)
+        assert {(r.own, r.id_of_row, r["_id"]) for r in found.collect()} == {("x", "y", "z")}
+
+
+def test_items_without_an_id_are_hits(spark):
+    docs = spark.createDataFrame(
+        [(1, f"{prose(5)} {ITEM}", "en", "a", 1), (2, PASSAGE, "en", "a", 1), (3, prose(40), "en", "a", 1)],
+        DOCS,
+    )
+    items = spark.createDataFrame(
+        [(None, ITEM), (None, PASSAGE), (4, PASSAGE), (None, None)], "item_id long, text string"
+    )
+    found = {r.doc_id: r for r in inverted.contamination(docs, items).collect()}
+    assert [found[i].contaminated for i in (1, 2, 3)] == [True, True, False]
+    assert [found[i].n_items for i in (1, 2, 3)] == [0, 1, 0]
+    assert found[1].n_hit == 20 and found[2].n_hit == 70
+
+
+def test_long_runs_of_zeros_in_an_address(spark):
+    zeros = "0" * 5000
+    texts = [f"{zeros}.1.2.3", f"x {zeros}1.2.{zeros}255.4 y", f"{zeros}256.1.2.3", "1.2.3.0004"]
+    got = [len(disclosure.base_spans(t)["ip"]) for t in texts]
+    assert got == [1, 1, 0, 1]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    assert [r.n_ip for r in disclosure.sanitise(docs).orderBy("doc_id").collect()] == got
 
 
 def noisy(n, seed):
