@@ -26,6 +26,8 @@ from cadenza.llm.words import Polynomial, Words, bytes_of, slices
 
 NULL_ID = -(1 << 63)  # stands for a null doc_id, before all others
 BUCKET_BYTES = 1 << 20  # text per bucket of packed entries
+MIN_BUCKETS = 1 << 10
+BUCKETS_A_TASK, MOST_TASKS = 16, 1 << 16
 RESULTS = ("n_words", "n_removed", "kept")
 PACKED = "bucket int, done boolean, ids binary, places binary, facts binary"
 _NAMES = ["bucket", "done", "ids", "places", "facts"]
@@ -43,7 +45,7 @@ def plain_texts(docs: DataFrame) -> DataFrame:
 def bucket_count(docs: DataFrame) -> int:
     """A power of two that gives each bucket about ``BUCKET_BYTES`` of text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return 1 << max(10, int(size // BUCKET_BYTES).bit_length())
+    return max(MIN_BUCKETS, 1 << int(size // BUCKET_BYTES).bit_length())
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -89,9 +91,18 @@ def packed_rows(
     return rows_of(rows)
 
 
-def in_buckets(packed: DataFrame) -> DataFrame:
+def task_count(bucket_total: int, least: int) -> int:
+    """Tasks of about ``BUCKETS_A_TASK`` buckets, so that a task's share stays the same as the
+    input grows; buckets are read one by one, so beyond ``MOST_TASKS`` tasks get longer, and
+    need no more memory."""
+    wanted = bucket_total // BUCKETS_A_TASK if bucket_total > MIN_BUCKETS else 0
+    return max(least, min(wanted, MOST_TASKS))
+
+
+def in_buckets(packed: DataFrame, bucket_total: int) -> DataFrame:
     """The rows of a bucket next to each other in one task."""
-    width = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = task_count(bucket_total, least)
     return packed.repartition(width, "bucket").sortWithinPartitions("bucket", "done")
 
 
@@ -139,8 +150,8 @@ def earliest(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray):
 
 
 def _windows(window: int, anchor: int, bucket_total: int):
-    """The windows around the anchors: repeats among the slice's own are settled, the first of
-    each go on in buckets by their hash."""
+    """The windows around the anchors that end within their reach: repeats among the slice's
+    own are settled, the first of each go on in buckets by their hash."""
     bits = np.uint64(int(bucket_total).bit_length() - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +161,10 @@ def _windows(window: int, anchor: int, bucket_total: int):
             count = pa.compute.list_value_length(listed).to_numpy()
             text = np.repeat(np.arange(len(words)), count)
             place = listed.flatten().to_numpy().astype(np.int64)
+            reach = batch.column("reach").flatten().to_numpy().astype(np.int64)
             n = words.counts()
             low = np.maximum(place - (window - anchor), 0)
-            high = np.minimum(place, n[text] - window)
+            high = np.minimum(place + reach, n[text]) - window
             inside = (place >= 0) & (place + anchor <= n[text]) & (low <= high)
             if not inside.any():
                 continue
@@ -188,16 +200,18 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from grouped(ids, places)
 
 
-def grouped(ids: np.ndarray, places: np.ndarray):
-    """Entries as one row per document: ``doc_id`` and ``places``."""
+def grouped(ids: np.ndarray, places: np.ndarray, reach: np.ndarray | None = None):
+    """Entries as one row per document: ``doc_id``, ``places`` and, where given, ``reach``."""
     if not len(ids):
         return
+    facts = [places] if reach is None else [places, reach]
     order = np.lexsort((places, ids))
-    ids, places = ids[order], places[order]
+    ids, facts = ids[order], [x[order].astype(np.int32) for x in facts]
     cuts = np.flatnonzero(first_of_runs(ids))
     ends = pa.array(np.append(cuts, len(ids)).astype(np.int32))
-    columns = [pa.array(ids[cuts]), pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32)))]
-    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "places"])
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in facts]
+    names = ["doc_id", "places", "reach"][: len(lists) + 1]
+    yield pa.RecordBatch.from_arrays([pa.array(ids[cuts]), *lists], names)
 
 
 def by_document(found: DataFrame, *names: str) -> DataFrame:
@@ -255,11 +269,16 @@ def _removed(window: int, names: list[str]):
 def remove_repeats(docs: DataFrame, places: DataFrame, window: int, anchor: int) -> DataFrame:
     """All rows and columns of ``docs`` with ``n_words``, ``n_removed`` and ``kept``, the text
     without the words of every ``window`` that also starts earlier; ``places`` has each
-    document's anchors (``doc_id, places``), runs of ``anchor`` words."""
+    document's anchors (``doc_id, places``), runs of ``anchor`` words that stand elsewhere too.
+    Where it has a column ``reach``, at most so many words from the anchor on do, else there
+    may be ``window``."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in RESULTS])
+    if "reach" not in places.columns:
+        places = places.withColumn("reach", F.transform("places", lambda _: F.lit(window)))
+    total = bucket_count(docs)
     texts = plain_texts(docs).join(places, "doc_id")
-    around = texts.mapInArrow(_windows(window, anchor, bucket_count(docs)), PACKED)
-    marks = in_buckets(around).mapInArrow(_judged, "doc_id long, places array<int>")
+    around = texts.mapInArrow(_windows(window, anchor, total), PACKED)
+    marks = in_buckets(around, total).mapInArrow(_judged, "doc_id long, places array<int>")
     of, where = free_names(docs, "of", "places")
     marks = by_document(marks, "places").select(
         F.col("doc_id").alias(of), F.col("places").alias(where)
@@ -271,5 +290,3 @@ def remove_repeats(docs: DataFrame, places: DataFrame, window: int, anchor: int)
         [*docs.schema.fields, *(T.StructField(c, k) for c, k in zip(RESULTS, kinds, strict=True))]
     )
     return joined.mapInArrow(_removed(window, out.names), out)
-
-

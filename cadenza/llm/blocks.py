@@ -103,7 +103,8 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
 def _without_substrings(docs: DataFrame) -> DataFrame:
     plain = plain_texts(docs)
-    probes = plain.mapInArrow(_probes(bucket_count(docs)), PACKED)
-    hits = in_buckets(probes).mapInArrow(_hits, "doc_id long, places array<int>")
+    total = bucket_count(docs)
+    probes = plain.mapInArrow(_probes(total), PACKED)
+    hits = in_buckets(probes, total).mapInArrow(_hits, "doc_id long, places array<int>")
     places = stored(by_document(hits, "places"), "hits")
     return remove_repeats(docs, places, WINDOW, BLOCK)

@@ -228,10 +228,10 @@ def test_a_shared_phrase_is_spread_over_all_buckets(spark, monkeypatch, name, si
     texts[600] = texts[3]
     seen, plain = [], anchors.in_buckets
 
-    def watched(packed):
+    def watched(packed, total):
         entries = F.sum(F.octet_length("ids") / 8).alias("n")
         seen.append([r.n for r in packed.groupBy("bucket").agg(entries).collect()])
-        return plain(packed)
+        return plain(packed, total)
 
     monkeypatch.setattr(anchors, "in_buckets", watched)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
@@ -240,6 +240,45 @@ def test_a_shared_phrase_is_spread_over_all_buckets(spark, monkeypatch, name, si
     assert max(seen[-1]) < sum(seen[-1]) / 50
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_suffixes_reach_as_far_as_any_other_one(spark, adaptive):
+    """In one task, and cut into several whose ends must be compared."""
+    texts = noisy(80, 5)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    batches = docs.toArrow().to_batches()
+    kept = [r for b in suffixes._suffixes(batches) for r in b.to_pylist()]
+    plain = {}
+    for r in kept:
+        run_ = texts[r["doc_id"]].split()[r["place"] : r["place"] + suffixes.PASSAGE]
+        assert len(r["suffix"].rstrip(b"\0")) == len(run_)
+        plain[r["doc_id"], r["place"]] = run_
+
+    def shared(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    wanted = {k: max(shared(a, b) for o, b in plain.items() if o != k) for k, a in plain.items()}
+    wanted = {k: n for k, n in wanted.items() if n >= suffixes.PREFIX}
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        found = suffixes.repeated_suffixes(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    got = collections.defaultdict(int)
+    for r in found:
+        for place, reach in zip(r.places, r.reach, strict=True):
+            got[r.doc_id, place] = max(reach, got[r.doc_id, place])
+    assert set(got) == set(wanted)
+    # A letter shared by unlike words may lengthen a reach, never shorten it.
+    assert all(got[k] >= n for k, n in wanted.items())
+    assert sum(got[k] > n for k, n in wanted.items()) < len(wanted) / 20
+
+
+def test_tasks_grow_with_the_buckets():
+    sizes = [anchors.task_count(1 << bits, 200) for bits in (10, 12, 15, 20, 40)]
+    assert sizes == [200, 256, 2048, 65536, 65536]
+
+
 def test_near_lines_go_and_distant_stay(spark):
     base = [f"a{i}" for i in range(10)]
     cases = [base, base[:4] + ["new"] + base[5:], base[1:], [*base, "end"], base[2:],
