@@ -31,6 +31,46 @@ SELECT doc_id, text, lang, source, n_chars, mix_slot::BIGINT AS mix_slot,
 FROM placed
 """
 
+# Documents with equal sets are one class. Two classes that are similar enough share one of the
+# rarest shingles of each, so those name the pairs whose sets are then compared in full.
+OP4 = r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+    FROM doc, LATERAL unnest(range(1, greatest(len(w) - 4, 1) + 1)) r(i) WHERE len(w) > 0),
+sets AS (
+    SELECT doc.doc_id, coalesce(s, []) AS s
+    FROM doc LEFT JOIN (SELECT doc_id, list(shingle ORDER BY shingle) AS s FROM grams GROUP BY doc_id) g
+        USING (doc_id)),
+classes AS (
+    SELECT min(doc_id) AS node, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+parts AS (SELECT node, n, unnest(s) AS shingle FROM classes),
+ranked AS (
+    SELECT node, n, shingle, row_number() OVER (PARTITION BY node ORDER BY held, shingle) AS r
+    FROM parts JOIN (SELECT shingle, count(*) AS held FROM parts GROUP BY shingle) USING (shingle)),
+rare AS (SELECT * FROM ranked WHERE r <= n - (85 * n + 99) // 100 + 1),
+pairs AS (
+    SELECT DISTINCT x.node AS a, y.node AS b
+    FROM rare x JOIN rare y ON x.shingle = y.shingle AND x.node < y.node
+        AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)),
+compared AS (
+    SELECT a, b, x.n + y.n AS total, len(list_intersect(x.s, y.s)) AS common
+    FROM pairs JOIN classes x ON x.node = a JOIN classes y ON y.node = b),
+links AS (SELECT a, b FROM compared WHERE 100 * common >= 85 * (total - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+    SELECT node AS root, node FROM classes
+    UNION
+    SELECT root, b FROM reached JOIN ways ON a = node WHERE b > root),
+groups AS (SELECT node, min(root) AS component FROM reached GROUP BY node)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles,
+    coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN classes ON classes.s = sets.s LEFT JOIN groups USING (node)
+"""
+
 OP6 = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS e
@@ -274,6 +314,7 @@ FROM folded JOIN sub ON folded.source IS NOT DISTINCT FROM sub.source, top
 
 ORACLE_SQL = {
     "op1_pfair_mixing": OP1,
+    "op4_setsketch_dedup": OP4,
     "op5_suffix_passage_dedup": OP5,
     "op6_term_at_a_time_topk": OP6,
     "op7_block_substring_dedup": OP7,

@@ -54,7 +54,7 @@ def op3_disclosure_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents at a similarity of 0.85."""
-    return setsketch.near_duplicates(table(spark, folder, "documents"), percent=85)
+    return setsketch.duplicates_by_row(table(spark, folder, "documents"), percent=85)
 
 
 def op5_suffix_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:

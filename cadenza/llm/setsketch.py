@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import stored
 from cadenza.llm.components import components
+from cadenza.operators.ranking import full_rank
 from cadenza.llm.words import LOWER, Words, bytes_of, mix, slices
 
 # Register K = clip(floor(1 - log_b(h)), 0, Q + 1) of the least h ~ Exp(RATE) of a set.
@@ -235,7 +236,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     A null or empty text has no shingles and stays alone. Rows that repeat a doc_id count as
     one document, the one with the most shingles (of these the greatest set hash); rows with a
-    null doc_id are left out. An empty table gives an empty result.
+    null doc_id are left out (``duplicates_by_row`` takes each row as its own). An empty table
+    gives an empty result.
     """
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     sketched = stored(docs.mapInArrow(_sketches, _SKETCH), "sketches")
@@ -300,3 +302,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         component.alias("component_id"),
         (component == F.col("doc_id")).alias("kept"),
     )
+
+
+def duplicates_by_row(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``near_duplicates`` with one row for every row of ``docs``, whatever its id.
+
+    Rows that share a doc_id or have none are documents of their own, numbered in the order of
+    id (null last) and text hash. A group's ``component_id`` is its smallest id, null where no
+    row of it has one; ``kept`` marks one row of each group, the first in that order.
+    """
+    rows = docs.select("doc_id", "text")
+    times = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if times.where("n > 1 or doc_id is null").isEmpty():
+        return near_duplicates(rows, percent)
+    order = [F.asc_nulls_last("id"), F.col("hash")]
+    hashed = rows.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("hash"))
+    numbered = full_rank(hashed, [], order, "own")
+    found = near_duplicates(numbered.select(F.col("own").alias("doc_id"), "text"), percent)
+    found = found.withColumnsRenamed({"doc_id": "own", "component_id": "first"})
+    names = numbered.select("own", F.col("id").alias("doc_id"))
+    firsts = numbered.select(F.col("own").alias("first"), F.col("id").alias("component_id"))
+    return found.join(names, "own").join(firsts, "first").select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )

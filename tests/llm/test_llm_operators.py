@@ -240,6 +240,27 @@ def test_a_shared_phrase_is_spread_over_all_buckets(spark, monkeypatch, name, si
     assert max(seen[-1]) < sum(seen[-1]) / 50
 
 
+def test_near_copies_by_row(spark, messy):
+    """Shared and missing ids: each row is a document, and the smallest id names its group."""
+    found = setsketch.duplicates_by_row(messy, 80).collect()
+    hashed = messy.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    ordered = sorted(hashed, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
+    groups = near_groups({i: r.text for i, r in enumerate(ordered)}, 80)
+    wanted = [(r.doc_id, groups[i][0], ordered[groups[i][1]].doc_id, groups[i][2])
+              for i, r in enumerate(ordered)]
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
+    copies = spark.createDataFrame(
+        [(None, PASSAGE), (None, PASSAGE), (9, PASSAGE), (4, prose(30)), (None, prose(20))],
+        "doc_id long, text string",
+    )
+    got = setsketch.duplicates_by_row(copies, 80).select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(9, 9, True), (None, 9, False), (None, 9, False), (4, 4, True), (None, None, True)], key=str
+    )
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert setsketch.duplicates_by_row(empty, 80).collect() == []
+
+
 @pytest.mark.parametrize("adaptive", ["true", "false"])
 def test_suffixes_reach_as_far_as_any_other_one(spark, adaptive):
     """In one task, and cut into several whose ends must be compared."""
