@@ -29,7 +29,7 @@ def test_shuffle_partitions_follow_the_input(spark):
     assert large.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
-@pytest.mark.parametrize("name", ["song_features_first_load", "song_heat_top", "singer_heat_top"])
+@pytest.mark.parametrize("name", ["song_features_first_load", "singer_heat_top", "machine_stat"])
 def test_queries_shuffle_by_their_input(spark, tiny_parts, name):
     found = catalog.QUERIES[name](spark, FOLDER)
     assert int(found.sparkSession.conf.get(PARTITIONS)) >= 40
