@@ -6,6 +6,7 @@ import pytest
 
 from cadenza import session as sessions
 from cadenza.checks import queries as catalog
+from cadenza.sources.versions import Files
 
 FOLDER = "/root/testdata/sf0.001"
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -34,3 +35,24 @@ def test_queries_shuffle_by_their_input(spark, tiny_parts, name):
     found = catalog.QUERIES[name](spark, FOLDER)
     assert int(found.sparkSession.conf.get(PARTITIONS)) >= 40
     assert found.count() > 0
+
+
+def test_a_larger_log_is_more_files(spark, tiny_parts, monkeypatch):
+    """A gzip file is read by one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    read, seen = catalog.read_lines, []
+    monkeypatch.setattr(
+        catalog, "read_lines", lambda session, path: seen.append(path) or read(session, path)
+    )
+    try:
+        assert catalog.QUERIES["log_scan"](spark, FOLDER).count() > 0
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    names = [name for name, _ in Files(spark, seen[0]).children(seen[0])]
+    assert len([name for name in names if name.endswith(".gz")]) >= 40
