@@ -28,10 +28,14 @@ def seconds(span: str) -> int:
     return int(number) * _SECONDS[unit.lower().rstrip("s")]
 
 
-def _buckets(messages: DataFrame, slide: str, window: str, delay: str | None, *keys: str):
-    """Messages per bucket of one slide and ``keys``."""
+def check_span(window: str, slide: str) -> None:
     if seconds(window) % seconds(slide):
         raise ValueError("a window must be a whole number of slides")
+
+
+def _buckets(messages: DataFrame, slide: str, window: str, delay: str | None, *keys: str):
+    """Messages per bucket of one slide and ``keys``."""
+    check_span(window, slide)
     if messages.isStreaming:
         if delay is None:
             raise ValueError("a stream on event time needs the delay of its messages")

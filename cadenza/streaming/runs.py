@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cadenza.sinks.jdbc import replace_table
-from cadenza.streaming import counts
+from cadenza.streaming import closed, counts
 
 Write = Callable[[DataFrame], None]
 Shape = Callable[[DataFrame], DataFrame]
@@ -94,8 +94,8 @@ def start_visitors(
         write_views(df.select("mid", "pv"))
         write_users(df.select("mid", "uv"))
 
-    rows = counts.visitors(messages, window, slide, delay)
     trigger = trigger or {"processingTime": VISITOR_TRIGGER}
+    rows = counts.visitors(messages, window, slide, delay)
     return _start(rows, replace_with_latest(write, lambda df: df), checkpoint, trigger)
 
 
@@ -115,8 +115,8 @@ def start_hot_songs(
         return counts.hot_songs(df, top).select("songname", "times", "rank")
 
     trigger = trigger or {"processingTime": SONG_TRIGGER}
-    rows = counts.song_counts(messages, window, slide, delay)
-    return _start(rows, replace_with_latest(write, shape), checkpoint, trigger)
+    handle = replace_with_latest(write, shape)
+    return closed.start(messages, closed.SONGS, handle, checkpoint, window, slide, delay, **trigger)
 
 
 def late_rows(progress) -> int:
@@ -150,18 +150,39 @@ class LateReport(StreamingQueryListener):
         pass
 
 
-def replay_to_files(
-    rows: DataFrame, path: str, checkpoint: str, shape: Shape | None = None
-) -> str:
-    """Run a stream over all input present and keep every window, as Parquet.
-
-    Each micro-batch owns one folder and replaces it when it is repeated, so a retry adds
-    nothing twice.
-    """
+def _to_files(path: str, shape: Shape | None) -> Callable[[DataFrame, int], None]:
+    """Each micro-batch owns one folder and replaces it when it is repeated, so a retry adds
+    nothing twice."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         shaped = shape(batch) if shape else batch
         shaped.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    _start(rows, handle, checkpoint, {"availableNow": True}).awaitTermination()
+    return handle
+
+
+def replay_to_files(
+    rows: DataFrame, path: str, checkpoint: str, shape: Shape | None = None
+) -> str:
+    """Run a stream over all input present and keep every row it emits, as Parquet."""
+    _start(rows, _to_files(path, shape), checkpoint, {"availableNow": True}).awaitTermination()
+    return path
+
+
+def replay_windows(
+    messages: DataFrame,
+    counted: closed.Counted,
+    path: str,
+    checkpoint: str,
+    window: str,
+    slide: str,
+    delay: str,
+    shape: Shape | None = None,
+    spark: SparkSession | None = None,
+) -> str:
+    """Run a stream over all input present and keep every closed window, as Parquet."""
+    closed.start(
+        messages, counted, _to_files(path, shape), checkpoint, window, slide, delay, spark,
+        availableNow=True,
+    ).awaitTermination()
     return path
