@@ -95,8 +95,10 @@ def start_visitors(
         write_users(df.select("mid", "uv"))
 
     trigger = trigger or {"processingTime": VISITOR_TRIGGER}
-    rows = counts.visitors(messages, window, slide, delay)
-    return _start(rows, replace_with_latest(write, lambda df: df), checkpoint, trigger)
+    handle = replace_with_latest(write, lambda df: df)
+    return closed.start(
+        messages, closed.VISITORS, handle, checkpoint, window, slide, delay, **trigger
+    )
 
 
 def start_hot_songs(
