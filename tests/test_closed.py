@@ -33,7 +33,7 @@ class StateWrites(StreamingQueryListener):
         self.running = False
 
 
-@pytest.mark.parametrize("name", ["stream_uv", "stream_uv_wide", "stream_last_window"])
+@pytest.mark.parametrize("name", ["stream_uv", "stream_uv_wide", "stream_last_window", "stream_pv"])
 def test_state_has_no_row_per_window(spark, monkeypatch, name):
     """Twelve windows a message: its bucket and its last window's end are all that is kept."""
     seen, make = StateWrites(), catalog._stream_session
