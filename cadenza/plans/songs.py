@@ -10,7 +10,15 @@ from cadenza.functions.dates import normalise_time, shift_day
 from cadenza.functions.heat import heat_index
 from cadenza.operators.counting import nested_window_counts
 from cadenza.operators.ranking import full_rank, top_n
-from cadenza.operators.trailing import day_gaps, day_values, many_gaps, trailing_counts
+from cadenza.operators.trailing import (
+    COUNT,
+    ROWS_SLOT,
+    SLOT,
+    day_gaps,
+    day_values,
+    many_gaps,
+    trailing_counts,
+)
 from cadenza.sources.tables import DAY, between_days, on_day
 
 NEAR_DAYS, FAR_DAYS = 7, 30
@@ -181,6 +189,17 @@ def daily_counts(plays: DataFrame, songs: DataFrame, first: str, last: str) -> D
     )
 
 
+def kept_daily_counts(gaps: DataFrame, songs: DataFrame, first: str, last: str) -> DataFrame:
+    """The same from the row counts that days keep beside their gaps; no plays are read."""
+    return (
+        between_days(gaps, first, last)
+        .where(F.col(SLOT) == ROWS_SLOT)
+        .select("NBR", DAY, F.col(COUNT).alias("SING_CNT"))
+        .join(songs.select("NBR"), "NBR", "left_semi")
+        .withColumn("SUPP_CNT", F.lit(0).cast("bigint"))
+    )
+
+
 def _heat_periods(counts: DataFrame, *identity: str) -> DataFrame:
     """One row per period '1', '7', '30' with its index as RSI."""
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import pytest
 
+from cadenza import jobs
 from cadenza import session as sessions
 from cadenza.checks import queries as catalog
+from cadenza.functions.dates import shift_day
+from cadenza.plans import songs
+from cadenza.sources import samples
 from cadenza.sources.versions import Files
 
 FOLDER = "/root/testdata/sf0.001"
@@ -56,3 +60,23 @@ def test_a_larger_log_is_more_files(spark, tiny_parts, monkeypatch):
             spark.conf.unset(key)
     names = [name for name, _ in Files(spark, seen[0]).children(seen[0])]
     assert len([name for name in names if name.endswith(".gz")]) >= 40
+
+
+def test_kept_song_days_serve_the_features(spark):
+    """Peaks too come from what days keep, and a first load writes its day with the others."""
+    found = catalog.QUERIES["song_features"](spark, FOLDER)
+    files = found.inputFiles()
+    assert any(jobs.SONG_GAPS in name for name in files)
+    assert not any(jobs.PLAYS in name for name in files)
+    session = catalog._session(spark, FOLDER, spark.conf.get(PARTITIONS))
+    store = catalog._warehouse(session, FOLDER)
+    first = shift_day(catalog.DAY, -songs.FAR_DAYS)
+    days = {day for day in store.days(jobs.PLAYS) if first <= day <= catalog.DAY}
+    assert days <= store.days(jobs.SONG_GAPS)
+    plays = store.read_days(jobs.PLAYS, first, catalog.DAY)
+    gaps = store.read_days(jobs.SONG_GAPS, first, catalog.DAY)
+    dimension = songs.song_dimension(samples.song_catalog(spark, FOLDER))
+    before = shift_day(catalog.DAY, -1)
+    wanted = songs.daily_counts(plays, dimension, first, before)
+    kept = songs.kept_daily_counts(gaps, dimension, first, before).select(*wanted.columns)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, wanted.collect()))
