@@ -4,7 +4,8 @@ A stream's state holds one row per slide-wide bucket and key, however many windo
 A bucket comes out once, when the watermark has passed it, and the micro-batch makes the windows
 that have closed. Buckets that open windows still need are kept as files. A window's counts change
 only where a bucket enters or leaves it, or a user's last visit before it does, so a bucket sends
-three changes instead of a row per window, and running sums over them give the counts.
+three changes instead of a row per window, and running sums over them give the counts. The sums
+start anew every ``STRETCH`` windows, so that a key's history is spread over tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from cadenza.sources.versions import Files
 from cadenza.streaming.counts import check_span, seconds
 
 Emit = Callable[[DataFrame, int], None]
+STRETCH = 64  # windows' lengths of a key that one running sum goes over
 
 
 @dataclass(frozen=True)
@@ -83,9 +85,11 @@ def windows(
     """The counts of the windows that end later than second ``after`` and by ``upto``.
 
     Visits are compared with the same user's last ones before, spread by user; a key's changes are
-    summed before they meet, so a busy key has one row per slide.
+    summed before they meet, so a busy key has one row per slide. A bucket whose windows start in
+    two stretches leaves the one and enters the other where they touch.
     """
     length, step = seconds(window), seconds(slide)
+    stretch = F.lit(STRETCH * length).cast("bigint")
     past = F.lit(upto - length + step)  # the first start that is not asked for
     start = F.col("at") - (length - step)
     if after is not None:
@@ -94,25 +98,36 @@ def windows(
     found = closed.where(F.col("at") - (length - step) < past).withColumn("start", start)
     end = F.least(F.col("at") + step, past)
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    users = zero
+    users = again = zero
 
-    def change(point, rows, seen):
-        return F.struct(point.alias("point"), rows.alias("rows"), seen.alias("users"))
+    def stretch_of(point):
+        return point - F.pmod(point, stretch)
 
+    def change(part, point, rows, seen):
+        return F.struct(
+            part.alias("part"), point.alias("point"), rows.alias("rows"), seen.alias("users")
+        )
+
+    # The windows' starts from the first to the one before ``end``: one stretch, or two.
+    enters, leaves = stretch_of(F.col("start")), stretch_of(end - 1)
     changes = []
     if counted.user:
         before = Window.partitionBy(*counted.keys()).orderBy("at")
         found = found.withColumn("last", F.lag("at").over(before))
         first = F.least(F.greatest("start", F.coalesce(F.col("last") + step, "start")), past)
         users = F.when(F.col(counted.user).isNotNull(), one).otherwise(zero)
-        changes = [change(first, zero, users)]
-    changes += [change(F.col("start"), F.col("n"), zero), change(end, -F.col("n"), -users)]
+        again = F.when(first < leaves, users).otherwise(zero)
+        changes = [change(F.least(stretch_of(first), leaves), first, zero, users)]
+    n = F.col("n")
+    changes += [change(enters, F.col("start"), n, zero), change(leaves, end, -n, -users)]
+    touching = [change(enters, leaves, -n, -again), change(leaves, leaves, n, again)]
+    every = F.when(enters < leaves, F.array(*changes, *touching)).otherwise(F.array(*changes))
     summed = (
-        found.select(counted.key, F.inline(F.array(*changes)))
-        .groupBy(counted.key, "point")
+        found.select(counted.key, F.inline(every))
+        .groupBy(counted.key, "part", "point")
         .agg(F.sum("rows").alias("rows"), F.sum("users").alias("users"))
     )
-    order = Window.partitionBy(counted.key).orderBy("point")
+    order = Window.partitionBy(counted.key, "part").orderBy("point")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     held = summed.select(
         counted.key,

@@ -136,3 +136,40 @@ def test_changes_are_summed_before_a_key_meets(spark):
     assert plan.index("Aggregate") < plan.index("inline")  # upper operators come first
     assert plan.count("explode(sequence(") == 1 == plan.count("inline(")
     assert "lag(" in plan
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 64])
+@pytest.mark.parametrize("name", ["views", "visitors"])
+def test_windows_across_stretches_equal_the_batch_counts(spark, monkeypatch, name, stretch):
+    """Some windows given out before, some not asked for, and buckets that two stretches share."""
+    monkeypatch.setattr(closed, "STRETCH", stretch)
+    counted, static = WHAT[name]
+    rows = messages.parse(spark.createDataFrame(visits(), LOG))
+    keys = counted.keys()
+    stored = rows.where("mid IS NOT NULL").groupBy(F.window("ts", "5 seconds"), *keys)
+    stored = stored.agg(F.count("*").alias("n"))
+    stored = stored.select(F.unix_seconds("window.start").alias("at"), *keys, "n").persist()
+    wanted = static(rows, "60 seconds", "5 seconds").persist()
+    ends = sorted(int(r[0]) for r in wanted.select(F.unix_seconds("window_end")).distinct().collect())
+    for after, upto in [(None, ends[-1]), (ends[40], ends[150]), (ends[41], ends[41] + 5)]:
+        found = closed.windows(stored, counted, "60 seconds", "5 seconds", after, upto)
+        end = F.unix_seconds("window_end")
+        kept = wanted.where((end > (after or 0)) & (end <= upto))
+        assert collected(found) == collected(kept)
+
+
+@pytest.mark.parametrize("name", ["views", "visitors", "songs"])
+def test_a_key_with_a_long_history_is_spread_over_tasks(spark, name):
+    """One machine's windows used to be made by one task, however long it had been seen."""
+    counted = WHAT[name][0]
+    columns = ["'m'"] + ["CAST(id % 7 AS STRING)"] * (len(counted.keys()) - 1)
+    rows = spark.range(20000).selectExpr("id * 5 AS at", *columns, "1L AS n")
+    rows = rows.toDF(*[column.split()[0] for column in counted.stored().split(", ")])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = closed.windows(rows, counted, "60 seconds", "5 seconds", None, 100000)
+        sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [size["count"] for size in sizes]
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
