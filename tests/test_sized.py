@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 
 from cadenza import jobs
@@ -80,3 +82,23 @@ def test_kept_song_days_serve_the_features(spark):
     wanted = songs.daily_counts(plays, dimension, first, before)
     kept = songs.kept_daily_counts(gaps, dimension, first, before).select(*wanted.columns)
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_the_message_log_is_made_in_one_pass(spark, tmp_path):
+    """Its batches used to read and parse the events once each."""
+    folder, log = tmp_path / "tables", str(tmp_path / "log")
+    folder.mkdir()
+    shutil.copy(f"{FOLDER}/events.parquet", folder)
+    events = folder / "events.parquet"
+    wanted = samples.messages(spark, FOLDER).collect()
+    first = []
+
+    def then(files):
+        first.append(len(Files(spark, log).children(log)))
+        events.unlink()
+
+    files = int(catalog._in_batches(spark, str(folder), log, then, ending=False))
+    kept = Files(spark, log).children(log)
+    names = [name for name, _ in kept if name.startswith("part-")]
+    assert len(names) == samples.BATCHES * files and first[0] < len(kept)
+    assert sorted(map(str, spark.read.parquet(log).collect())) == sorted(map(str, wanted))
